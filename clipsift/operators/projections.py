@@ -31,9 +31,11 @@ POST_COLUMNS = {
     "bookmarks": "string",
     "views": "string",
     "tags": "array<string>",
+    "comments_tree": "array<struct<text:string,replies:array<struct<text:string>>>>",
     "source": "string",
     "ts": "double",
 }
+STAT_COLUMNS = ("likes", "comments", "comments_count", "shares", "bookmarks", "views")
 
 
 def with_audit(df: DataFrame, name: str = "ingested_at") -> DataFrame:
@@ -125,15 +127,25 @@ def unify_metadata(df: DataFrame) -> DataFrame:
     def first(*names: str) -> Column:
         found = [F.col(n) for n in names if n in have]
         if "stats" in have:
-            found += [F.col("stats").getItem(n) for n in names]
+            found += [F.col("stats").getItem(n) for n in names if n in STAT_COLUMNS]
         return F.coalesce(*found) if found else F.lit(None)
 
+    def tree() -> Column:
+        if "comments_tree" not in have:
+            return F.lit(None)
+        fields = df.schema["comments_tree"].dataType.elementType.names
+        replies = (lambda c: c["replies"]) if "replies" in fields else (lambda c: F.lit(None))
+        return F.transform(
+            "comments_tree", lambda c: F.struct(c["text"].alias("text"), replies(c).alias("replies"))
+        )
+
     wanted = {
         "video_id": first("video_id")
         if "video_id" in have
         else ids.id_from_url(first("url", "videoUrl")),
         "url": first("url", "videoUrl"),
         "comments": first("comments_count", "comments"),
+        "comments_tree": tree(),
         "ts": first("timestamp"),
     }
     out = []

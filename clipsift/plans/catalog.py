@@ -6,7 +6,7 @@ import importlib
 
 from clipsift.plans.registry import REGISTRY, Query
 
-MODULES = ("scalars",)
+MODULES = ("scalars", "storage", "projections", "relational", "analytics", "ranking")
 
 
 def catalog() -> dict[str, Query]:
