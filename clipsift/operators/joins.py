@@ -63,8 +63,17 @@ def assemble_features(
     ``video``(key, video_emb), ``audio``(key, audio_emb), ``meta``(key, numeric_scaled,
     comments_emb), ``labels``(key, label).
     """
+    return finish_rows(video.join(audio, key).join(meta, key), labels, key, drop)
+
+
+def finish_rows(
+    rows: DataFrame,
+    labels: DataFrame | None = None,
+    key: str = "video_id",
+    drop: Sequence[int] | None = None,
+) -> DataFrame:
+    """Gold rows from joined features: incomplete rows out, count features out, label in."""
     drop = count_positions() if drop is None else drop
-    rows = video.join(audio, key).join(meta, key)
     rows = rows.filter("video_emb is not null and audio_emb is not null")
     rows = rows.filter("numeric_scaled is not null and comments_emb is not null")
     if labels is not None:

@@ -131,13 +131,16 @@ def duplicate_report(df: DataFrame, col: str) -> DataFrame:
 def cap_per_source(
     df: DataFrame, source: str, ident: str, order: str, n: int, seen: DataFrame | None = None
 ) -> DataFrame:
-    """At most ``n`` distinct ids per source in discovery order, each id kept once.
+    """At most ``n`` distinct ids per source (0: no limit) in discovery order, each id kept once.
 
     Ids already in ``seen`` use up their source's allowance but are not returned; an id found
     under several sources stays with the source that met it first.
     """
     distinct = df.groupBy(source, ident).agg(F.min(order).alias(order))
-    capped = first_per_key(distinct, [source], [order, ident], n, "rank_in_source")
+    if n > 0:
+        capped = first_per_key(distinct, [source], [order, ident], n, "rank_in_source")
+    else:
+        capped = numbered(distinct, [source], [order, ident], "rank_in_source")
     if seen is not None:
         capped = capped.join(seen.select(ident).distinct(), ident, "left_anti")
     kept = capped.groupBy(ident).agg(

@@ -6,7 +6,10 @@ import importlib
 
 from clipsift.plans.registry import REGISTRY, Query
 
-MODULES = ("scalars", "storage", "projections", "relational", "analytics", "ranking")
+MODULES = (
+    "scalars", "storage", "projections", "relational", "analytics", "ranking", "streams",
+    "learning", "composite",
+)
 
 
 def catalog() -> dict[str, Query]:

@@ -86,16 +86,14 @@ TIMED_SQL = (
 )
 
 
-def describe_sql(rows: str) -> str:
+def describe_sql(rows: str, digits: int = 4) -> str:
     out = []
     for m in LATENCY:
-        pcts = ", ".join(
-            f"ROUND(quantile_cont({m}, {p}), 4) AS {aggregates.pct_name(p)}" for p in aggregates.PERCENTILES
-        )
-        out.append(
-            f"SELECT '{m}' AS metric, count({m}) AS count, ROUND(avg({m}), 4) AS mean, "
-            f"ROUND(stddev_samp({m}), 4) AS std, ROUND(min({m}), 4) AS min, {pcts}, ROUND(max({m}), 4) AS max FROM {rows}"
-        )
+        stats = {"mean": f"avg({m})", "std": f"stddev_samp({m})", "min": f"min({m})"}
+        stats |= {aggregates.pct_name(p): f"quantile_cont({m}, {p})" for p in aggregates.PERCENTILES}
+        stats["max"] = f"max({m})"
+        cols = ", ".join(f"ROUND({e}, {digits}) AS {n}" for n, e in stats.items())
+        out.append(f"SELECT '{m}' AS metric, count({m}) AS count, {cols} FROM {rows}")
     return " UNION ALL ".join(out)
 
 

@@ -419,12 +419,15 @@ for _name, _words in (("toxic", TOXIC), ("constructive", CONSTRUCTIVE)):
     )
 
 
-def vector_sql() -> str:
-    """video_id and the 25 features of every post."""
+def vector_sql(digits: int | None = 6) -> str:
+    """video_id and the 25 features of every post, rounded unless ``digits`` is None."""
     per_video = ", ".join(f"{e} AS {n}" for n, e in {**_stats_sql, **_flags_sql}.items())
     found = {**_engagement_sql(), **_date_sql()}
     found |= {n: f"coalesce({n}, 0e0)" for n in (*_stats_sql, *_flags_sql)}
-    cols = ", ".join(f"ROUND({found[n]}, 6) AS {n}" for n in NUMERIC_FEATURES)
+    cols = ", ".join(
+        f"{found[n]} AS {n}" if digits is None else f"ROUND({found[n]}, {digits}) AS {n}"
+        for n in NUMERIC_FEATURES
+    )
     return (
         f"(SELECT p.video_id, {cols} FROM (SELECT video_id, {_counted}, "
         f"{S.date_of('date', 2025)} AS d, {_month} AS m FROM {V.POSTS.sql}) p "
@@ -433,21 +436,22 @@ def vector_sql() -> str:
     )
 
 
-def post_features(spark, sf):
-    """Posts with their comments and the 25 features."""
+def posts_with_comments(spark, sf):
+    """Posts with the texts of their comment tree."""
     nested = trees.nest_comment_tree(trees.build_comment_tree(V.COMMENTS.df(spark, sf)))
     texts = nested.select(
         "video_id", comments.flatten_comments(F.col("comments_tree")).alias("comment_texts")
     )
-    posts = V.POSTS.df(spark, sf).join(texts, "video_id", "left")
-    return features.numeric_vector(
-        posts, toxic=comments.has_word(TOXIC), constructive=comments.has_word(CONSTRUCTIVE)
-    )
+    return V.POSTS.df(spark, sf).join(texts, "video_id", "left")
+
+
+RULES = {"toxic": comments.has_word(TOXIC), "constructive": comments.has_word(CONSTRUCTIVE)}
 
 
 @query(f"SELECT * FROM {vector_sql()}")
 def q_numeric_vector(spark, sf):
-    return post_features(spark, sf).select(
+    found = features.numeric_vector(posts_with_comments(spark, sf), **RULES)
+    return found.select(
         "video_id", *[_r(n).alias(n) for n in NUMERIC_FEATURES]
     )
 
@@ -484,8 +488,5 @@ def q_comment_stats(spark, sf):
 @query(f"SELECT video_id, {_flag_cols} FROM (SELECT video_id, {_c} AS c FROM {V.COMMENTS.sql}) GROUP BY video_id")
 def q_comment_toxicity(spark, sf):
     df = V.COMMENTS.df(spark, sf).withColumn("text", text.normalize_text(F.col("text")))
-    flags = trees.comment_flags_by(
-        df, "video_id",
-        {"toxic": comments.has_word(TOXIC), "constructive": comments.has_word(CONSTRUCTIVE)},
-    )
+    flags = trees.comment_flags_by(df, "video_id", RULES)
     return flags.select("video_id", *[_r(n).alias(n) for n in _flags_sql])

@@ -112,10 +112,23 @@ def prediction_sink(
     return write
 
 
-def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Process everything that is there, in append mode, and stop."""
+def table_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of plain rows; each batch overwrites its own folder."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def run_available(
+    df: DataFrame,
+    sink: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str = "append",
+) -> StreamingQuery:
+    """Process everything that is there and stop."""
     query = (
-        df.writeStream.outputMode("append")
+        df.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(sink)

@@ -34,3 +34,8 @@ def label_counts_stream(
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("bin"), "label", "n")
     )
+
+
+def latest(updates: DataFrame, *keys: str) -> DataFrame:
+    """Last value of ``n`` per key from the batches written in update mode."""
+    return updates.groupBy(*keys).agg(F.max_by("n", "batch_id").alias("n"))
