@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clipsift.functions.text import LAUGH_EMOJIS, contains_any, word_count
+from clipsift.functions.text import has_laugh, word_count
 
 STAT_FIELDS = (
     "n_comments",
@@ -52,7 +52,7 @@ def comment_stats(comments: Column) -> Column:
         F.greatest(F.size(comments), F.lit(0)).cast("double"),
         _mean(comments, F.length),
         _mean(comments, word_count),
-        _mean(comments, lambda t: contains_any(t, LAUGH_EMOJIS)),
+        _mean(comments, has_laugh),
         _mean(comments, lambda t: F.contains(t, F.lit("?"))),
     )
     return F.struct(*[v.alias(n) for n, v in zip(STAT_FIELDS, values)])

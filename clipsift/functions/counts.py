@@ -10,23 +10,36 @@ from pyspark.sql import functions as F
 # Count suffixes and their factors.
 SUFFIX_FACTORS = {"K": 1e3, "M": 1e6, "B": 1e9}
 
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# A decimal number and one optional suffix, blanks around either.
+COUNT = (
+    r"(?U)^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*"
+    rf"([{''.join(SUFFIX_FACTORS)}{''.join(SUFFIX_FACTORS).lower()}]?)\s*$"
+)
 
+# Unicode whitespace.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+def strip(c: Column) -> Column:
+    """Trim Unicode whitespace at both ends without a regex."""
+    return F.trim(c, F.lit(BLANKS))
 
 
 def parse_count(c: Column) -> Column:
-    """``"307K"`` -> 307000.0; blank, ``N/A`` and anything that is no number -> null."""
-    text = F.upper(_strip(c.cast("string")))
-    suffix = F.right(text, F.lit(1))
-    has_suffix = suffix.isin(*SUFFIX_FACTORS)
-    body = F.when(has_suffix, _strip(F.regexp_replace(text, "[KMB]$", ""))).otherwise(text)
-    factor = F.lit(1.0)
-    for letter, value in SUFFIX_FACTORS.items():
-        factor = F.when(suffix == letter, F.lit(value)).otherwise(factor)
-    return F.when(body.rlike(NUMBER), body.try_cast("double") * factor)
+    """``"307K"`` -> 307000.0; blank, ``N/A`` and anything that is no number -> null.
+
+    Each piece is read once, so the input expression is not repeated per suffix.
+    """
+    text = c.cast("string")
+    number = F.regexp_extract(text, COUNT, 1).try_cast("double")
+    suffix = F.upper(F.regexp_extract(text, COUNT, 2))
+    # An absent suffix is found at place 1, the letters after it.
+    place = F.instr(F.lit(" " + "".join(SUFFIX_FACTORS)), suffix)
+    factors = F.array(F.lit(1.0), *[F.lit(f) for f in SUFFIX_FACTORS.values()])
+    return number * F.try_element_at(factors, place)
 
 
 def count_of(c: Column, kind: str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clipsift.functions.counts import strip
+
 # Label strings of the four-class vocabulary.
 LABEL_IDS = {
     0: ("safe",),
@@ -33,7 +35,7 @@ FOLDER_SLUGS = {
 
 def map_label(c: Column) -> Column:
     """Label string -> 0..3; unknown strings count as generic harmful, null stays null."""
-    text = F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
+    text = F.lower(strip(c))
     out = F.when(c.isNull(), F.lit(None).cast("int"))
     for ident, names in LABEL_IDS.items():
         if ident != DEFAULT_LABEL:

@@ -17,15 +17,37 @@ LAUGH_EMOJIS = EMOJI_TOKENS["<EMOJI_LAUGH>"]
 SEPARATOR = " [SEP] "
 
 
+# Every sign outside the basic plane starts with these UTF-8 bytes up to U+1FFFF.
+ASTRAL_PREFIX = bytearray(b"\xf0\x9f")
+
+
+def any_of(signs) -> str:
+    """Pattern for one of the signs; single code points go into one class."""
+    single = "".join(s for s in signs if len(s) == 1)
+    return "|".join([f"[{single}]", *(s for s in signs if len(s) > 1)])
+
+
+def may_have_emoji(c: Column) -> Column:
+    """Cheap byte test that is true for every text holding one of the emojis."""
+    plain = {s[0] for signs in EMOJI_TOKENS.values() for s in signs if ord(s[0]) < 0x10000}
+    found = F.contains(c.cast("binary"), F.lit(ASTRAL_PREFIX))
+    for sign in sorted(plain):
+        found = found | F.contains(c, F.lit(sign))
+    return found
+
+
 def map_emojis(c: Column) -> Column:
-    """One regex pass per emoji set."""
-    for token, emojis in EMOJI_TOKENS.items():
-        c = F.regexp_replace(c, "|".join(emojis), f" {token} ")
-    return c
+    """One regex pass per emoji set, only for texts that may hold an emoji."""
+    mapped = c
+    for token, signs in EMOJI_TOKENS.items():
+        mapped = F.regexp_replace(mapped, any_of(signs), f" {token} ")
+    return F.when(may_have_emoji(c), mapped).otherwise(c)
 
 
 def strip_hashtags(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)#\S+", "")
+    return F.when(
+        F.contains(c, F.lit("#")), F.regexp_replace(c, r"(?U)#\S+", "")
+    ).otherwise(c)
 
 
 def normalize_whitespace(c: Column) -> Column:
@@ -62,9 +84,9 @@ def merged_text(caption: Column, comments: Column) -> Column:
     return F.trim(F.concat_ws(" ", cleaned, spoken))
 
 
-def word_count(c: Column) -> Column:
-    return F.size(F.filter(F.split(c, r"(?U)\s+"), lambda t: t != ""))
+def has_laugh(c: Column) -> Column:
+    return c.rlike(any_of(LAUGH_EMOJIS))
 
 
-def contains_any(c: Column, needles) -> Column:
-    return c.rlike("|".join(needles))
+def word_count(c: Column) -> Column:
+    return F.size(F.filter(F.split(c, r"(?U)\s+"), lambda t: t != ""))

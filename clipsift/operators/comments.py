@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipsift.functions.text import LAUGH_EMOJIS, contains_any, word_count
+from clipsift.functions.counts import strip
+from clipsift.functions.text import has_laugh, word_count
 from clipsift.operators.ordering import first_per_key, running_totals
 
 # Default size limits of a comment tree.
@@ -37,7 +38,7 @@ def build_comment_tree(
     """
     shown = nodes.select(
         key, F.col(pos).alias("pos"), F.col(level).alias("level"),
-        F.regexp_replace(text, r"(?U)^\s+|\s+$", "").alias("text"),
+        strip(F.col(text)).alias("text"),
     ).filter("text <> ''")
     rooted = running_totals(
         shown,
@@ -82,7 +83,7 @@ def comment_stats_by(df: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("n_comments"),
         F.avg(F.length(t)).alias("avg_len_chars"),
         F.avg(word_count(t)).alias("avg_len_words"),
-        F.avg(contains_any(t, LAUGH_EMOJIS).cast("double")).alias("frac_has_laugh_emoji"),
+        F.avg(has_laugh(t).cast("double")).alias("frac_has_laugh_emoji"),
         F.avg(F.contains(t, F.lit("?")).cast("double")).alias("frac_has_question"),
     )
 

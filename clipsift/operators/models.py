@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from clipsift.functions.vectors import softmax
 from clipsift.operators.metrics import macro_f1
+from clipsift.session import durable
 
 Encoder = Callable[[list[str]], np.ndarray]
 
@@ -179,13 +180,16 @@ def train_classifier(
     """Fit candidates on the rows where ``train`` holds, keep the best macro F1 on the others.
 
     Logistic regression over the regularisation ``grid``, or a perceptron with hidden
-    ``layers``. Returns (model, validation metrics as a list of (candidate, macro_f1)).
+    ``layers``. The rows are written once, as every candidate reads them. Returns (model, validation metrics as a list of (candidate, macro_f1)).
     """
-    rows = df.select(
-        array_to_vector(F.col(features).cast("array<double>")).alias("features"),
-        F.col(label).cast("double").alias("label"),
-        train.alias("_train"),
-    )
+    rows = durable(
+        df.select(
+            F.col(features).cast("array<double>").alias("_f"),
+            F.col(label).cast("double").alias("label"),
+            train.alias("_train"),
+        ),
+        "training",
+    ).select(array_to_vector("_f").alias("features"), "label", "_train")
     fit_on, check_on = rows.filter("_train"), rows.filter(~F.col("_train"))
     if layers:
         candidates = [("mlp", MultilayerPerceptronClassifier(layers=list(layers), seed=seed))]

@@ -88,10 +88,20 @@ def numbered(
     )
 
 
+# Spark cuts ranked rows before the shuffle only up to this setting's value.
+LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int, name: str = "rn"
 ) -> DataFrame:
-    """First ``n`` rows of each key; Spark cuts each task's rows to ``n`` before the shuffle."""
+    """First ``n`` rows of each key, numbered from 1.
+
+    Up to the group-limit threshold each task's rows are cut to ``n`` before the shuffle; a
+    larger ``n`` is counted over slices, so a hot key never fills one task.
+    """
+    if n > int(df.sparkSession.conf.get(LIMIT_KEY, "1000")):
+        return numbered(df, keys, order, name).filter(F.col(name) <= n)
     window = Window.partitionBy(*keys).orderBy(*_ordering(order))
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
 

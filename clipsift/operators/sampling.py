@@ -69,13 +69,14 @@ def uniform_sample(
 ) -> DataFrame:
     """``k`` evenly spaced rows per key, ``sample_no`` 0..k-1; short keys repeat rows."""
     ranked = numbered(df, keys, order, "_rn", total="_n", bucket=bucket)
-    steps = max(k - 1, 1)
-    wanted = F.filter(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda i: F.floor(i * (F.col("_n") - 1) / F.lit(steps)) == F.col("_rn") - 1,
-    )
+    # Row r (0-based) of n is sample i when floor(i * (n - 1) / (k - 1)) = r.
+    steps, gap = max(k - 1, 1), F.col("_n") - 1
+    first = F.ceil((F.col("_rn") - 1) * steps / gap)
+    last = F.least(F.ceil(F.col("_rn") * steps / gap) - 1, F.lit(k - 1))
+    some = F.when(first <= last, F.sequence(first, last))
+    wanted = F.when(gap > 0, some).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
     picked = ranked.select(*df.columns, F.explode(wanted).alias("sample_no"))
-    return picked
+    return picked.withColumn("sample_no", F.col("sample_no").cast("int"))
 
 
 def first_k(

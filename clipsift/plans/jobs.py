@@ -15,6 +15,7 @@ from clipsift.operators.features import numeric_vector
 from clipsift.operators.models import encode_text
 from clipsift.operators.scaling import fit_scaler
 from clipsift.operators.sets import union_sources
+from clipsift.session import durable
 from clipsift.sources import annotations, readers, writers
 from clipsift.streaming.events import event_json, new_items, run_available
 
@@ -86,10 +87,11 @@ def metadata_features(
 ) -> DataFrame:
     """Posts -> silver metadata features: scaled and raw numerics, three text vectors.
 
-    ``posts`` holds the five counts, date, description, tags and comment_texts. The feature
-    columns are kept beside the arrays.
+    ``posts`` holds the five counts, date, description, tags and comment_texts. The raw features
+    are written once, since the scaler and the output both read them; the feature columns are
+    kept beside the arrays.
     """
-    raw = numeric_vector(posts, **vector_options)
+    raw = durable(numeric_vector(posts, **vector_options), "numeric")
     names = joins.NUMERIC_FEATURES
     scaler = fit_scaler(raw, names, sample_n, "video_id" if sample_n else None)
     scaled = scaler.transform(raw, "_scaled")

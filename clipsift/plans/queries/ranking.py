@@ -78,8 +78,8 @@ def q_chunk_batches(spark, sf):
     return ordering.chunk(V.MEDIA_PATHS.df(spark, sf), 30, ["path"], start=3)
 
 
-def _hour():
-    return F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(3600))
+def _minute():
+    return F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(60))
 
 
 def sample_sql(k: int) -> str:
@@ -92,7 +92,7 @@ def sample_sql(k: int) -> str:
 
 def _uniform(spark, sf, k):
     rows = load(spark, sf, "events").select("user_id", "event_id", "ts")
-    picked = sampling.uniform_sample(rows, ["user_id"], ["ts", "event_id"], k, bucket=_hour())
+    picked = sampling.uniform_sample(rows, ["user_id"], ["ts", "event_id"], k, bucket=_minute())
     return picked.select("user_id", "event_id", "sample_no")
 
 

@@ -45,11 +45,11 @@ def q_stream_parse(spark, sf):
 
 def _sunk(spark, sf):
     root = event_lines(spark, sf)
-    out, dead = scratch_path(spark, "predictions"), scratch_path(spark, "dead")
-    sink = events.prediction_sink(out, dead, item_features(spark, sf), events.linear_scorer())
+    out = scratch_path(spark, "predictions")
+    sink = events.prediction_sink(out, item_features(spark, sf), events.linear_scorer())
     stream = events.parse_events(events.event_source(spark, path=root))
     events.run_available(stream, sink, scratch_path(spark, "ckpt"))
-    return spark.read.parquet(out), spark.read.parquet(dead)
+    return out
 
 
 @query(
@@ -57,7 +57,8 @@ def _sunk(spark, sf):
     f"count(DISTINCT e.raw_path) AS n_paths FROM {SCORED_SQL} s JOIN {E} e USING (event_id) GROUP BY 1, 2"
 )
 def q_stream_sink(spark, sf):
-    ok, dead = _sunk(spark, sf)
+    out = _sunk(spark, sf)
+    ok, dead = (events.read_predictions(spark, out, o) for o in ("ok", "failed"))
     both = ok.select(F.lit("ok").alias("outcome"), "source", "raw_path").unionByName(
         dead.select(F.lit("dead").alias("outcome"), "source", "raw_path")
     )
@@ -71,8 +72,7 @@ def q_stream_sink(spark, sf):
     f"FROM {SCORED_SQL} s JOIN {E} e USING (event_id) WHERE label IS NOT NULL"
 )
 def q_stream_score(spark, sf):
-    ok, _ = _sunk(spark, sf)
-    return ok.select(
+    return events.read_predictions(spark, _sunk(spark, sf)).select(
         "raw_path", "video_id", "label", "label_id", F.round("confidence", 6).alias("confidence"),
         F.round(F.col("probabilities")["Harmful"], 6).alias("p_harmful"),
     )

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Methods above 8000 bytecodes are not compiled by the JVM's JIT; wide projections such as the
+# feature vector run faster when Spark splits them instead of fusing them into one method.
 DEFAULTS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -87,31 +87,33 @@ def score_events(
 
 
 def prediction_sink(
-    path: str,
-    dead_letter: str,
-    features: DataFrame,
-    scorer: Callable[[DataFrame], DataFrame],
+    path: str, features: DataFrame, scorer: Callable[[DataFrame], DataFrame]
 ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer: scored rows to ``path``, failed ones to ``dead_letter``.
+    """foreachBatch writer of scored events, partitioned by batch and outcome.
 
-    Each batch overwrites its own folder, so a batch that runs again leaves no duplicates.
+    The outcome ``failed`` is the dead-letter side. Each batch is scored and written once and
+    overwrites its own folder, so a batch that runs again leaves no duplicates.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        scored = score_events(batch, features, scorer).withColumn(
-            "ingested_at", F.current_timestamp()
+        scored = score_events(batch, features, scorer).withColumns(
+            {
+                "ingested_at": F.current_timestamp(),
+                "outcome": F.when(F.col("label").isNotNull(), "ok").otherwise("failed"),
+            }
         )
-        ok = F.col("label").isNotNull()
-        target = f"batch_id={batch_id}"
-        scored.filter(ok).write.mode("overwrite").parquet(f"{path}/{target}")
-        scored.filter(~ok).select("video_id", "source", "raw_path", "timestamp").write.mode(
-            "overwrite"
-        ).parquet(f"{dead_letter}/{target}")
+        scored.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
+def read_predictions(spark: SparkSession, path: str, outcome: str = "ok") -> DataFrame:
+    """Rows of one outcome from the prediction table; only its folders are read."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    return rows.filter(F.col("outcome") == outcome).drop("outcome", "batch_id")
+
+
 def table_sink(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer of plain rows; each batch overwrites its own folder."""
     def write(batch: DataFrame, batch_id: int) -> None:
