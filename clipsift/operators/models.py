@@ -41,7 +41,7 @@ def encode_text(df: DataFrame, col: str, dim: int, out: str = "emb", encoder: En
             shown = np.flatnonzero(texts.str.len().to_numpy() > 0)
             if len(shown):
                 rows[shown] = encoder(texts.iloc[shown].tolist())
-            yield pd.Series(list(rows), index=texts.index)
+            yield pd.Series(list(rows))
 
     return df.withColumn(out, run(text))
 
@@ -65,11 +65,11 @@ def classify(
     @F.pandas_udf("int")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            result = pd.Series(0, index=texts.index, dtype="int32")
-            shown = texts[texts != ""]
+            result = np.zeros(len(texts), dtype=np.int32)
+            shown = np.flatnonzero(texts.str.len().to_numpy() > 0)
             if len(shown):
-                result.loc[shown.index] = list(predict(shown.tolist()))
-            yield result
+                result[shown] = np.asarray(predict(texts.iloc[shown].tolist()), dtype=np.int32)
+            yield pd.Series(result)
 
     return df.withColumn(out, run(text))
 
