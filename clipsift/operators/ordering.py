@@ -16,6 +16,9 @@ from clipsift.session import durable
 
 SLICE = "_slice"
 
+# Rows without a bucket sort first, like nulls.
+FIRST_SLICE = -(2**63)
+
 
 def _ordering(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -33,40 +36,52 @@ def running_totals(
 
     ``totals`` maps a name in ``sums`` to a column that receives the key's grand total.
     ``bucket`` may give a slice number that never falls as the order advances (a position
-    span, a minute, a hash prefix); no intermediate table is needed then. Without it the rows
+    span, a minute, a hash prefix; none counts as the first); no intermediate table is needed
+    then. Without it the rows
     are range-partitioned on (keys, order) and the slices written to the shared folder, so
     that both passes see the same slices.
     """
-    order = _ordering(order)
     keys = list(keys)
-    work = df.withColumns({f"_{name}": expr for name, expr in sums.items()})
-    if bucket is not None:
-        work = work.withColumn(SLICE, bucket)
-    else:
-        ranged = work.repartitionByRange(*[F.col(k) for k in keys], *order)
+    order = _ordering([o for o in order if not (isinstance(o, str) and o in keys)])
+    kept = [c for c in df.columns if c not in keys]
+    # Keys travel as one struct: equal also where a key is null, so the join below can use the
+    # partitioning of the window instead of shuffling the rows again.
+    key = [F.struct(*keys).alias("_key")] if keys else []
+    work = df.select(
+        *key,
+        *kept,
+        *[expr.alias(f"_{name}") for name, expr in sums.items()],
+        *([F.coalesce(bucket.cast("long"), F.lit(FIRST_SLICE)).alias(SLICE)] if bucket is not None else []),
+    )
+    group = [F.col("_key")] if keys else []
+    if bucket is None:
+        ranged = work.repartitionByRange(*[F.col(f"_key.{k}") for k in keys], *order)
         work = durable(
             ranged.withColumn(SLICE, F.spark_partition_id().cast("long")), "slices"
         )
 
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    inside = Window.partitionBy(*group, SLICE).orderBy(*order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = work.withColumns({n: F.sum(f"_{n}").over(inside) for n in sums})
 
-    per_slice = work.groupBy(*keys, SLICE).agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in sums])
-    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    per_slice = work.groupBy(*group, SLICE).agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in sums])
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
     before = whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_slice.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col(SLICE).alias("_k_slice"),
+        *[c.alias("_carry_key") for c in group],
+        F.col(SLICE).alias("_carry_slice"),
         *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in sums],
         *[F.sum(f"_{n}").over(whole).alias(out) for n, out in (totals or {}).items()],
     )
-    same = F.col(SLICE).eqNullSafe(F.col("_k_slice"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    same = F.col(SLICE) == F.col("_carry_slice")
+    if keys:
+        same = same & (F.col("_key") == F.col("_carry_key"))
     joined = local.join(carry, same, "inner")
-    joined = joined.withColumns({n: F.col(n) + F.col(f"_c_{n}") for n in sums})
-    return joined.select(*df.columns, *sums, *(totals or {}).values())
+    return joined.select(
+        *[(F.col(f"_key.{c}") if c in keys else F.col(c)).alias(c) for c in df.columns],
+        *[(F.col(n) + F.col(f"_c_{n}")).alias(n) for n in sums],
+        *(totals or {}).values(),
+    )
 
 
 def numbered(

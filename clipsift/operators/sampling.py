@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from clipsift.operators.ordering import first_per_key, numbered
 
-# Hash prefixes of this many hex digits cut the table into about a million even buckets.
-PREFIX_DIGITS = 5
+# Hash prefixes of this many hex digits cut the table into 65,536 even buckets; one task ranks
+# the counts, and one the rows of the single bucket that holds the cut.
+PREFIX_DIGITS = 4
 
 
 def hash_order(key: str | Column, seed: int) -> Column:

@@ -20,13 +20,16 @@ def skewed(spark):
     return rows, spark.createDataFrame(rows, "k string, t int, id int, w long").repartition(5)
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
 @pytest.mark.parametrize("bucket", [None, "floor(t / 10)"])
-def test_running_totals(skewed, bucket):
+def test_running_totals(spark, skewed, bucket, threshold):
     rows, df = skewed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     expr = F.expr(bucket) if bucket else None
     got = ordering.running_totals(
         df, ["k"], ["t", "id"], {"w_sum": F.col("w"), "n": F.lit(1).cast("long")}, totals={"n": "all"}, bucket=expr
     ).collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     groups = defaultdict(list)
     for r in rows:
         groups[r[0]].append(r)
@@ -40,6 +43,12 @@ def test_running_totals(skewed, bucket):
     assert len(got) == len(rows)
 
 
+def test_rows_without_order_value_are_kept(spark):
+    df = spark.createDataFrame([("a", None), ("a", 3), ("a", 25), (None, None)], "k string, t int")
+    got = ordering.numbered(df, ["k"], ["t"], bucket=F.floor(F.col("t") / 10)).collect()
+    assert sorted(((r["k"] or "", r["t"] or 0, r["rn"]) for r in got)) == [("", 0, 1), ("a", 0, 1), ("a", 3, 2), ("a", 25, 3)]
+
+
 def test_numbered_without_keys_descending(skewed):
     rows, df = skewed
     got = ordering.numbered(df, [], [F.col("t").desc(), "id"]).collect()

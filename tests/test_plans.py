@@ -43,3 +43,13 @@ def test_scaler_reads_its_parameters_as_a_subquery(spark, sf_dir):
 def test_percentiles_never_gather_a_column(spark, sf_dir):
     text = plan(aggregates.describe(load(spark, sf_dir, "events"), {"v": F.col("value")}))
     assert "percentile(" not in text and "collect_list" not in text
+
+
+def test_running_totals_shuffle_the_rows_once(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = load(spark, sf_dir, "events").select("user_id", "event_id")
+    df = ordering.numbered(rows, ["user_id"], ["event_id"], bucket=F.floor(F.col("event_id") / 100))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    row_side = text[text.index("SortMergeJoin"):text.index("_carry_slice#", text.index("Window"))]
+    assert row_side.count("Exchange") == 1
