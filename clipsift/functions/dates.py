@@ -8,14 +8,16 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clipsift.functions.counts import strip
+
 DATE_FIELDS = ("age_days", "month_sin", "month_cos", "has_date")
 
 
 def parse_mm_dd(c: Column) -> Column:
     """``"8-9"``, ``"08/09"`` or ``"8.9"`` -> struct(month, day); anything else -> null."""
-    parts = F.split(F.trim(c), r"[-/.]")
-    month = F.trim(F.get(parts, F.lit(0))).try_cast("int")
-    day = F.trim(F.get(parts, F.lit(1))).try_cast("int")
+    parts = F.split(strip(c), r"[-/.]")
+    month = strip(F.get(parts, F.lit(0))).try_cast("int")
+    day = strip(F.get(parts, F.lit(1))).try_cast("int")
     valid = (F.size(parts) == 2) & month.between(1, 12) & day.between(1, 31)
     return F.when(valid, F.struct(month.alias("month"), day.alias("day")))
 

@@ -31,7 +31,7 @@ def build_comment_tree(
 ) -> DataFrame:
     """Accepted nodes as (key, pos, root_no, level, text).
 
-    Blank texts and replies before the first root are skipped, each root keeps ``max_replies``
+    Level 1 is a root, level 2 a reply. Blank texts and replies before the first root are skipped, each root keeps ``max_replies``
     replies, and the key keeps the first ``max_total`` accepted nodes. Root numbers are counted
     over slices of ``span`` positions, so a key with very many nodes is spread over tasks; both
     limits cut rows before their shuffle.
@@ -39,7 +39,7 @@ def build_comment_tree(
     shown = nodes.select(
         key, F.col(pos).alias("pos"), F.col(level).alias("level"),
         strip(F.col(text)).alias("text"),
-    ).filter("text <> ''")
+    ).filter("text <> '' and level in (1, 2)")
     rooted = running_totals(
         shown,
         [key],

@@ -13,6 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipsift.functions.counts import strip
 from clipsift.functions.vectors import softmax
 from clipsift.operators.metrics import macro_f1
 from clipsift.session import durable
@@ -26,7 +27,7 @@ def encode_text(df: DataFrame, col: str, dim: int, out: str = "emb", encoder: En
     Default: hashed word counts with unit length, in the JVM. An ``encoder`` (list of texts ->
     matrix) runs on Arrow batches instead.
     """
-    text = F.trim(F.coalesce(F.col(col), F.lit("")))
+    text = strip(F.coalesce(F.col(col), F.lit("")))
     if encoder is None:
         words = F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda t: t != "")
         work = df.withColumn("_words", words)
@@ -58,7 +59,7 @@ def classify(
     ``classifier`` maps a column to a column; ``predict`` (list of texts -> classes) runs on
     Arrow batches.
     """
-    text = F.trim(F.coalesce(F.col(col), F.lit("")))
+    text = strip(F.coalesce(F.col(col), F.lit("")))
     if classifier is not None:
         return df.withColumn(out, F.when(text == "", F.lit(0)).otherwise(classifier(text)).cast("int"))
 

@@ -83,27 +83,33 @@ def batch_etl(
 
 
 def metadata_features(
-    posts: DataFrame, dim: int, sample_n: int | None = None, encoder=None, **vector_options
+    posts: DataFrame,
+    dim: int,
+    sample_n: int | None = None,
+    encoder=None,
+    key: str = "video_id",
+    **vector_options,
 ) -> DataFrame:
     """Posts -> silver metadata features: scaled and raw numerics, three text vectors.
 
-    ``posts`` holds the five counts, date, description, tags and comment_texts. The raw features
-    are written once, since the scaler and the output both read them; the feature columns are
-    kept beside the arrays.
+    ``posts`` holds the five counts, date, description, tags and comment_texts. Each text is read
+    once; the narrow raw features are written, since the scaler and the output both read them.
     """
-    raw = durable(numeric_vector(posts, **vector_options), "numeric")
     names = joins.NUMERIC_FEATURES
-    scaler = fit_scaler(raw, names, sample_n, "video_id" if sample_n else None)
-    scaled = scaler.transform(raw, "_scaled")
-    rows = scaled.withColumn("numeric_scaled", F.array(*[F.col(f"{n}_scaled") for n in names]))
     texts = {
         "desc": normalize_text(strip_hashtags(F.col("description"))),
         "tags": normalize_text(tag_text(F.col("tags"))),
         "comments": join_comments(F.col("comment_texts")),
     }
+    rows = numeric_vector(posts, **vector_options)
     for name, text in texts.items():
         rows = encode_text(rows.withColumn("_t", text), "_t", dim, f"{name}_emb", encoder)
-    return rows.drop("_t", *[f"{n}_scaled" for n in names])
+    vectors = ["numeric_raw", *[f"{name}_emb" for name in texts]]
+    raw = durable(rows.select(key, *names, *vectors), "numeric")
+    scaled = fit_scaler(raw, names, sample_n, key if sample_n else None).transform(raw)
+    return scaled.select(
+        key, F.array(*[F.col(n) for n in names]).alias("numeric_scaled"), *vectors
+    )
 
 
 def full_features(

@@ -130,9 +130,7 @@ def q_job_metadata_features(spark, sf):
     )
     posts = posts_with_comments(spark, sf).join(captions, "video_id", "left")
     out = scratch_path(spark, "silver")
-    jobs.metadata_features(posts, 64, **RULES).select(
-        "video_id", "numeric_scaled", "numeric_raw", "desc_emb", "tags_emb", "comments_emb"
-    ).write.parquet(out)
+    jobs.metadata_features(posts, 64, **RULES).write.parquet(out)
     squares = F.transform(as_doubles(F.col("desc_emb")), lambda x: x * x)
     return spark.read.parquet(out).select(
         "video_id",

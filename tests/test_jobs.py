@@ -38,16 +38,16 @@ def test_pretty_printed_documents(spark, tmp_path):
 
 
 def test_keyed_reader_takes_the_folder_and_skips_broken_files(spark, tmp_path):
-    put(tmp_path / "v 1" / "metadata.json", {"likes": "3K"})
+    put(tmp_path / "v 1+é" / "metadata.json", {"likes": "3K"})
     put(tmp_path / "v2" / "metadata.json", "{broken")
     got = readers.read_keyed_metadata(spark, str(tmp_path), "likes string").collect()
-    assert [(r["video_id"], r["likes"]) for r in got] == [("v 1", "3K")]
+    assert [(r["video_id"], r["likes"]) for r in got] == [("v 1+é", "3K")]
 
 
 def test_tolerant_lines(spark, tmp_path):
-    lines = ['{"video_id":"a","timestamp":"2024-01-01T10:00:00.5"}', "", "oops", '{"video_id":"b","timestamp":"x"}', '{"video_id":"c"}']
+    lines = ['{"video_id":"a","timestamp":"2024-01-01T10:00:00.5","n":"x"}', " \t", "oops", '{"video_id":"z",', '{"video_id":"b","timestamp":"x"}', '{"video_id":"c"}']
     put(tmp_path / "log.jsonl", "\n".join(lines))
-    schema = "video_id string, timestamp string"
+    schema = "video_id string, timestamp string, n int"
     got = readers.read_jsonl_tolerant(spark, str(tmp_path), schema, default_ts="2000-01-01")
     assert {r["video_id"]: str(r["t"]) for r in got.select("video_id", F.col("ingested_at").cast("string").alias("t")).collect()} == {
         "a": "2024-01-01 10:00:00.5", "b": "2000-01-01 00:00:00", "c": "2000-01-01 00:00:00"}
