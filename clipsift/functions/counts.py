@@ -31,10 +31,11 @@ def strip(c: Column) -> Column:
 def parse_count(c: Column) -> Column:
     """``"307K"`` -> 307000.0; blank, ``N/A`` and anything that is no number -> null.
 
-    Each piece is read once, so the input expression is not repeated per suffix.
+    Each piece is read once, so the input expression is not repeated per suffix. Text without a
+    number becomes null before the cast, which would have to catch an exception for it.
     """
     text = c.cast("string")
-    number = F.regexp_extract(text, COUNT, 1).try_cast("double")
+    number = F.nullif(F.regexp_extract(text, COUNT, 1), F.lit("")).try_cast("double")
     suffix = F.upper(F.regexp_extract(text, COUNT, 2))
     # An absent suffix is found at place 1, the letters after it.
     place = F.instr(F.lit(" " + "".join(SUFFIX_FACTORS)), suffix)

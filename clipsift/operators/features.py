@@ -7,9 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipsift.functions.comments import comment_flags, comment_stats, is_constructive, is_toxic
+from clipsift.functions.comments import (
+    STAT_FIELDS,
+    comment_flags,
+    comment_stats,
+    is_constructive,
+    is_toxic,
+)
 from clipsift.functions.counts import count_of, engagement_features
-from clipsift.functions.dates import DATE_FIELDS, date_features
+from clipsift.functions.dates import DATE_FIELDS, date_features_of, parse_mm_dd
 from clipsift.functions.text import normalize_text
 from clipsift.operators.joins import NUMERIC_FEATURES
 
@@ -33,15 +39,17 @@ def numeric_vector(
     ``posts`` has the five counts, ``date`` and ``comment_texts`` (array). The statistics run
     on the normalised comments unless ``emoji_stats_on`` is ``"raw"``.
     """
-    kinds = {c: posts.schema[c].dataType.simpleString() for c in COUNT_COLUMNS}
+    schema = posts.schema
+    kinds = {c: schema[c].dataType.simpleString() for c in COUNT_COLUMNS}
     counts = {c: count_of(F.col(c), kinds[c]) for c in COUNT_COLUMNS}
     texts = F.coalesce(F.col("comment_texts"), F.array().cast("array<string>"))
     work = posts.withColumns({f"_{c}": v for c, v in counts.items()}).withColumns(
-        {"_clean": F.transform(texts, lambda t: normalize_text(t)), "_date": date_features(F.col("date"), ref, year)}
+        {"_clean": F.transform(texts, lambda t: normalize_text(t)), "_day": parse_mm_dd(F.col("date"))}
     )
     seen = texts if emoji_stats_on == "raw" else F.col("_clean")
     work = work.withColumns(
         {
+            "_date": date_features_of(F.col("_day"), ref, year),
             "_stats": comment_stats(seen),
             "_toxic": comment_flags(F.col("_clean"), toxic, "toxic"),
             "_constructive": comment_flags(F.col("_clean"), constructive, "constructive"),
@@ -49,8 +57,8 @@ def numeric_vector(
     )
     found = engagement_features({c: F.col(f"_{c}") for c in COUNT_COLUMNS})
     found |= {n: F.col(f"_date.{n}") for n in DATE_FIELDS}
-    for part in ("_stats", "_toxic", "_constructive"):
-        found |= {n: F.col(f"{part}.{n}") for n in work.schema[part].dataType.names}
-    work = work.withColumns({n: found[n] for n in NUMERIC_FEATURES})
-    work = work.withColumn("numeric_raw", F.array(*[F.col(n) for n in NUMERIC_FEATURES]))
-    return work.drop(*[c for c in work.columns if c.startswith("_")])
+    found |= {n: F.col(f"_stats.{n}") for n in STAT_FIELDS}
+    for name in ("toxic", "constructive"):
+        found |= {n: F.col(f"_{name}.{n}") for n in (f"n_{name}_comments", f"frac_{name}_comments")}
+    rows = work.select(*posts.columns, *[found[n].alias(n) for n in NUMERIC_FEATURES])
+    return rows.withColumn("numeric_raw", F.array(*[F.col(n) for n in NUMERIC_FEATURES]))

@@ -12,7 +12,7 @@ from clipsift.plans import sqltext as S
 from clipsift.plans import standins as V
 from clipsift.plans.queries.analytics import P, RISK_SQL, TIMED_SQL, describe_sql, trend_sql
 from clipsift.plans.queries.ranking import split_sql
-from clipsift.plans.queries.scalars import RULES, posts_with_comments, vector_sql
+from clipsift.plans.queries.scalars import RULES, near, posts_with_comments, vector_sql
 from clipsift.plans.queries.storage import by_id_sql, crawled_events, gold_rows
 from clipsift.plans.queries.streams import event_lines
 from clipsift.plans.registry import query
@@ -114,7 +114,7 @@ _params = ", ".join(
     f"avg({n}) AS m_{n}, CASE WHEN stddev_pop({n}) > 0 THEN stddev_pop({n}) ELSE 1 END AS s_{n}"
     for n in NUMERIC_FEATURES
 )
-_scaled = ", ".join(f"ROUND(({n} - m_{n}) / s_{n}, 3) AS {n}" for n in NUMERIC_FEATURES)
+_scaled = ", ".join(f"{S.near(f'({n} - m_{n}) / s_{n}', 3)} AS {n}" for n in NUMERIC_FEATURES)
 _no_tags = r"regexp_replace(text, '#\S+', '', 'g')"
 
 
@@ -134,7 +134,7 @@ def q_job_metadata_features(spark, sf):
     squares = F.transform(as_doubles(F.col("desc_emb")), lambda x: x * x)
     return spark.read.parquet(out).select(
         "video_id",
-        *[F.round(F.get("numeric_scaled", F.lit(i)), 3).alias(n) for i, n in enumerate(NUMERIC_FEATURES)],
+        *[near(F.get("numeric_scaled", F.lit(i)), 3).alias(n) for i, n in enumerate(NUMERIC_FEATURES)],
         F.round(F.sqrt(total(squares)), 4).alias("desc_norm"),
     )
 

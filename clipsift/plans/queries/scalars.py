@@ -21,6 +21,13 @@ def _r(c, digits=6):
     return F.round(c, digits)
 
 
+def near(c, digits=6):
+    """Nearest value with that many decimals, in plain arithmetic (cheaper than ``round``)."""
+    c = F.col(c) if isinstance(c, str) else c
+    scale = F.lit(10.0**digits)
+    return F.floor(c * scale + F.lit(0.5)) / scale
+
+
 @query(f"SELECT video_id, {_counted} FROM {V.POSTS.sql}")
 def q_parse_count(spark, sf):
     df = V.POSTS.df(spark, sf)
@@ -51,7 +58,7 @@ def _engagement_sql(prefix: str = "") -> dict[str, str]:
     return out
 
 
-_engaged = ", ".join(f"ROUND({e}, 6) AS {n}" for n, e in _engagement_sql().items())
+_engaged = ", ".join(f"{S.near(e, 6)} AS {n}" for n, e in _engagement_sql().items())
 
 
 @query(f"SELECT video_id, {_engaged} FROM (SELECT video_id, {_counted} FROM {V.POSTS.sql})")
@@ -59,7 +66,7 @@ def q_engagement_rates(spark, sf):
     df = V.POSTS.df(spark, sf)
     parsed = df.select("video_id", *[counts.parse_count(F.col(c)).alias(c) for c in COUNTS])
     found = counts.engagement_features({c: F.col(c) for c in COUNTS})
-    return parsed.select("video_id", *[_r(c).alias(n) for n, c in found.items()])
+    return parsed.select("video_id", *[near(c).alias(n) for n, c in found.items()])
 
 
 _valid, _month, _day = S.month_day("date")
@@ -86,7 +93,7 @@ def _date_sql(d: str = "d", m: str = "m") -> dict[str, str]:
     }
 
 
-_dated = ", ".join(f"ROUND({e}, 6) AS {n}" for n, e in _date_sql().items())
+_dated = ", ".join(f"{S.near(e, 6)} AS {n}" for n, e in _date_sql().items())
 
 
 @query(
@@ -96,7 +103,7 @@ _dated = ", ".join(f"ROUND({e}, 6) AS {n}" for n, e in _date_sql().items())
 def q_date_features(spark, sf):
     found = dates.date_features(F.col("date"), features.REFERENCE_DATE, features.ASSUMED_YEAR)
     return V.POSTS.df(spark, sf).withColumn("d", found).select(
-        "video_id", *[_r(f"d.{n}").alias(n) for n in dates.DATE_FIELDS]
+        "video_id", *[near(f"d.{n}").alias(n) for n in dates.DATE_FIELDS]
     )
 
 
@@ -276,7 +283,7 @@ def q_scaler_fit(spark, sf):
 
 @query(
     "SELECT l_orderkey, l_linenumber, l_partkey, "
-    + ", ".join(f"ROUND(({c} - m_{c}) / s_{c}, 4) AS {c}" for c in SCALED)
+    + ", ".join(f"{S.near(f'({c} - m_{c}) / s_{c}', 4)} AS {c}" for c in SCALED)
     + " FROM lineitem, (SELECT "
     + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SCALED)
     + " FROM lineitem)"
@@ -285,7 +292,7 @@ def q_scale_transform(spark, sf):
     df = load(spark, sf, "lineitem")
     scaled = scaling.fit_scaler(df, SCALED).transform(df)
     return scaled.select(
-        "l_orderkey", "l_linenumber", "l_partkey", *[_r(c, 4).alias(c) for c in SCALED]
+        "l_orderkey", "l_linenumber", "l_partkey", *[near(c, 4).alias(c) for c in SCALED]
     )
 
 
@@ -425,7 +432,7 @@ def vector_sql(digits: int | None = 6) -> str:
     found = {**_engagement_sql(), **_date_sql()}
     found |= {n: f"coalesce({n}, 0e0)" for n in (*_stats_sql, *_flags_sql)}
     cols = ", ".join(
-        f"{found[n]} AS {n}" if digits is None else f"ROUND({found[n]}, {digits}) AS {n}"
+        f"{found[n]} AS {n}" if digits is None else f"{S.near(found[n], digits)} AS {n}"
         for n in NUMERIC_FEATURES
     )
     return (
@@ -452,7 +459,7 @@ RULES = {"toxic": comments.has_word(TOXIC), "constructive": comments.has_word(CO
 def q_numeric_vector(spark, sf):
     found = features.numeric_vector(posts_with_comments(spark, sf), **RULES)
     return found.select(
-        "video_id", *[_r(n).alias(n) for n in NUMERIC_FEATURES]
+        "video_id", *[near(n).alias(n) for n in NUMERIC_FEATURES]
     )
 
 

@@ -59,3 +59,8 @@ def date_of(x: str, year: int) -> str:
 def holds_word(x: str, words: tuple[str, ...]) -> str:
     edge = r"[^\p{L}\p{N}]"
     return rf"regexp_matches({x}, '(?i)(^|{edge})({'|'.join(words)})({edge}|$)')"
+
+
+def near(x: str, digits: int) -> str:
+    """Nearest value with that many decimals, in plain arithmetic."""
+    return f"floor(({x}) * 1e{digits} + 0.5::DOUBLE) / 1e{digits}"
