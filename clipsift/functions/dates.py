@@ -37,5 +37,9 @@ def date_features_of(parsed: Column, ref: dt.date, year: int) -> Column:
 
 
 def date_features(c: Column, ref: dt.date, year: int) -> Column:
-    """struct(age_days, month_sin, month_cos, has_date), all zero when there is no valid date."""
+    """struct(age_days, month_sin, month_cos, has_date), all zero when there is no valid date.
+
+    For wide tables select ``parse_mm_dd`` first and use ``date_features_of`` on its column, so
+    that the text is parsed once.
+    """
     return date_features_of(parse_mm_dd(c), ref, year)

@@ -101,8 +101,9 @@ _dated = ", ".join(f"{S.near(e, 6)} AS {n}" for n, e in _date_sql().items())
     f"{_month} AS m FROM {V.POSTS.sql})"
 )
 def q_date_features(spark, sf):
-    found = dates.date_features(F.col("date"), features.REFERENCE_DATE, features.ASSUMED_YEAR)
-    return V.POSTS.df(spark, sf).withColumn("d", found).select(
+    parsed = V.POSTS.df(spark, sf).select("video_id", dates.parse_mm_dd(F.col("date")).alias("md"))
+    found = dates.date_features_of(F.col("md"), features.REFERENCE_DATE, features.ASSUMED_YEAR)
+    return parsed.withColumn("d", found).select(
         "video_id", *[near(f"d.{n}").alias(n) for n in dates.DATE_FIELDS]
     )
 
