@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipsift.llm import packing, pieces, wavelet
+from clipsift.llm import packing, pieces, quality, wavelet
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
 
@@ -12,6 +12,56 @@ PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
 
 
+_Q = quality
+
+
+def _line_fails_sql(x: str) -> str:
+    bare = f"trim({x}, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13))"
+    left = {k: f"length(regexp_replace({bare}, '{p}', '', 'g'))" for k, p in
+            (("symbol", _Q.SYMBOL), ("letter", _Q.LETTER), ("capital", _Q.CAPITAL))}
+    end = _Q.LINE_END.replace("'", "''")
+    return f"""(
+        (NOT regexp_matches({bare}, '{end}')
+         AND len(regexp_extract_all({bare}, '[^\x20\x09-\x0D]+')) >= {_Q.MIN_LINE_WORDS})
+        OR len(regexp_extract_all({bare}, '{_Q.SEPARATORS}')) >= {_Q.MIN_SEPARATORS}
+        OR regexp_matches({bare}, '{_Q.BOILERPLATE}')
+        OR {left["symbol"]} * 10 > length({bare})
+        OR ({left["capital"]} >= {_Q.MIN_CAPITALS} AND {left["capital"]} * 10 > {left["letter"]} * 6))"""
+
+
+QUALITY_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+      FROM (SELECT doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)),
+wn AS (SELECT doc_id, count(*) AS n_words, sum(length(w)) AS word_chars FROM w GROUP BY doc_id),
+g AS (SELECT *, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3, lead(w, 4) OVER o AS w4
+      FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w, w1, w2, w3, w4) AS n FROM g WHERE w4 IS NOT NULL),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat
+        FROM (SELECT doc_id, i, unnest(range(5)) AS k FROM r WHERE n > 1) GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d),
+full_l AS (SELECT * FROM l WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+dl AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup FROM full_l GROUP BY doc_id),
+bad AS (SELECT doc_id, count(*) AS n_bad, sum(length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g'))) AS lost
+        FROM full_l WHERE {_line_fails_sql("l")} GROUP BY doc_id),
+a AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+             coalesce(n_repeat, 0) AS n_repeat_words, coalesce(n_bad, 0) AS n_lines_failed, coalesce(lost, 0) AS lost_chars
+      FROM d LEFT JOIN wn USING (doc_id) LEFT JOIN dl USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN bad USING (doc_id)),
+b AS (SELECT *, n_words < {_Q.MIN_WORDS} OR 100 * n_repeat_words > {_Q.MAX_REPEAT_PCT} * n_words AS base_failed FROM a)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, CAST(n_lines_failed AS BIGINT) AS n_lines_failed,
+       CAST(lost_chars AS BIGINT) AS lost_chars,
+       NOT base_failed AND 100 * lost_chars <= {_Q.MAX_LOST_PCT} * word_chars AS kept
+FROM b"""
+
+
+@query(QUALITY_SQL)
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.clean_lines(documents(spark, sf_dir)).drop("clean_text")
+
+
 @query()
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), tokenizer_path(PIECE_MODEL))
