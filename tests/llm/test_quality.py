@@ -38,7 +38,7 @@ def test_counts(make_docs, with_clashes):
 def test_verdicts(make_docs):
     junk_nav = "home | about us | news | jobs | contact | imprint | help"
     rows = [
-        (0, f"{PROSE}\n{PROSE[:-1].upper()}.\n{PROSE[:40]} and a different end."),
+        (0, f"{PROSE}\n{PROSE[:-1].upper()}.\nSome other calm words follow here, as they should, and then a few more."),
         (1, "\n".join([junk_nav] * 3)),
         (2, f"{PROSE}\n\nAll rights reserved.\nSome other calm words follow here, as they should."),
         (3, " ".join(w + "%%%" for w in PROSE.split())),
