@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,20 +131,16 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def hash_bits(column: Column, log2_bits: int) -> Column:
-    """A position in a bit map of 2**log2_bits bits."""
-    return F.shiftrightunsigned(F.xxhash64(column), 64 - log2_bits)
-
-
 class BitMap:
     """Hashed keys as a bit map whose size does not grow with the keys.
 
     A full map lets every row through, so it saves shuffling and never decides a result.
+    ``column`` holds 64-bit hashes; their leading bits are the places in the map.
     """
 
     def __init__(self, keys: DataFrame, column: str, log2_bits: int):
-        self.log2_bits = log2_bits
-        at = hash_bits(F.col(column), log2_bits)
+        self.shift = 64 - log2_bits
+        at = F.shiftrightunsigned(F.col(column), self.shift)
         words = (
             keys.select(at.alias("at"))
             .select(
@@ -156,15 +153,81 @@ class BitMap:
         )
         bits = np.zeros(1 << (log2_bits - 6), dtype=np.int64)
         bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
-        self.bits = keys.sparkSession.sparkContext.broadcast(bits)
+        self.shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    def __getstate__(self):
+        return {"shift": self.shift, "shared": self.shared}
 
-    def filter(self, df: DataFrame, column: str) -> DataFrame:
-        """Rows whose key may be in the map: all that are, and a few others."""
-        shared = self.bits
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """For each 64-bit hash, whether its key may be in the map."""
+        at = (hashes.view(np.uint64) >> np.uint64(self.shift)).view(np.int64)
+        return (self.shared.value[at >> 6] >> (at & 63)) & 1 == 1
+
+    def marked(self, column: str) -> Column:
+        """The same as a boolean column."""
+        own = self
 
         @F.pandas_udf("boolean")
-        def inside(at: pd.Series) -> pd.Series:
-            at = at.to_numpy(np.int64)
-            return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+        def inside(hashes: pd.Series) -> pd.Series:
+            return pd.Series(own.holds(hashes.to_numpy(np.int64)))
+
+        return inside(F.col(column))
+
+
+def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a string column without nulls, and where each text begins (and the last ends)."""
+    if not len(column):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
+    large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64 if large else np.int32)
+    ends = ends[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    if data is None:
+        return np.zeros(0, dtype=np.uint8), ends - ends[0]
+    return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+class RollingHash:
+    """Fingerprints of byte strings from prefix sums, whole buffers at a time.
+
+    A string's fingerprint is the sum of a table value of each byte times a power of an odd
+    number, modulo 2**64, freed of its place and mixed.
+    """
 
-        return df.filter(inside(hash_bits(F.col(column), self.log2_bits)))
+    def __init__(self, seed: int, capacity: int):
+        rng = np.random.default_rng(seed)
+        self.table = rng.integers(0, 2**64, 256, dtype=np.uint64)
+        base = int(rng.integers(0, 2**63)) * 8 + 5
+        self.powers = _powers(base % 2**64, capacity + 1)
+        self.inverse = _powers(pow(base, -1, 2**64), capacity + 1)
+
+    def prefix(self, data: np.ndarray) -> np.ndarray:
+        sums = np.empty(len(data) + 1, dtype=np.uint64)
+        sums[0] = 0
+        np.cumsum(self.table[data] * self.powers[: len(data)], out=sums[1:])
+        return sums
+
+    def of(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Fingerprints of data[starts:ends]."""
+        return mixed((prefix[ends] - prefix[starts]) * self.inverse[starts])
+
+    def every(self, prefix: np.ndarray, length: int) -> np.ndarray:
+        """Fingerprints of all strings of one length, by start."""
+        n = max(0, len(prefix) - length)
+        return mixed((prefix[length:] - prefix[:n]) * self.inverse[:n])
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread all bits of 64-bit values (a multiply-and-shift finaliser)."""
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x

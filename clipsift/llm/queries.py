@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipsift.llm import packing, pieces, quality, wavelet
+from clipsift.llm import packing, pieces, quality, suffixes, wavelet
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
 
@@ -78,6 +78,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path(WORD_MODEL), end_id=2)
 
 
+@query()
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir))
+
+
 def llm_queries():
     """All queries of the subpackage, in order."""
     return dict(LLM_QUERIES)
