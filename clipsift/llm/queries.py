@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipsift.llm import packing, pieces, quality, suffixes, wavelet
+from clipsift.llm import neardup, packing, pieces, quality, suffixes, wavelet
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
 
@@ -83,6 +83,11 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(documents(spark, sf_dir))
 
 
+@query()
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
 def llm_queries():
     """All queries of the subpackage, in order."""
     return dict(LLM_QUERIES)
