@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clipsift.llm import neardup, packing, pieces, quality, suffixes, wavelet
+from clipsift.llm import forest, neardup, packing, pieces, quality, suffixes, wavelet
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
+from clipsift.tables import load
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
@@ -78,6 +80,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path(WORD_MODEL), end_id=2)
 
 
+@query()
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.neighbours(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query()
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(documents(spark, sf_dir))
