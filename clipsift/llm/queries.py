@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsift.llm import forest, neardup, packing, pieces, quality, suffixes, wavelet
+from clipsift.llm import forest, neardup, packing, pieces, quality, suffixes, toxicity, wavelet
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
 from clipsift.tables import load
@@ -69,6 +69,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), tokenizer_path(PIECE_MODEL))
 
 
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score_documents(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
+
+
 @query()
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = wavelet.write_shards(documents(spark, sf_dir), tokenizer_path(WORD_MODEL), end_id=1)
