@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsift.llm import forest, neardup, packing, pieces, quality, suffixes, toxicity, wavelet
+from clipsift.llm import forest, neardup, packing, pieces, quality, secrets, suffixes, toxicity, wavelet
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
 from clipsift.tables import load
@@ -101,6 +101,16 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
 
+@query()
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scanned = secrets.redact(docs, secrets.train(secrets.made_findings(spark)))
+    return scanned.select(
+        "doc_id", F.col("_candidates").alias("n_candidates"), F.col("_secrets").alias("n_secrets"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("redacted_sha256"),
+    )
+
+
 def llm_queries():
     """All queries of the subpackage, in order."""
     return dict(LLM_QUERIES)
