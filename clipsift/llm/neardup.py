@@ -19,17 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipsift.llm.common import BitMap, RollingHash, mixed, text_buffer, text_of
+from clipsift.llm.common import BitMap, RollingHash, arrow_rows, mixed, text_buffer, text_of
 from clipsift.llm.components import components
 from clipsift.session import durable
 
-SHINGLE = 2
+SHINGLE = 5  # words
 SIMILAR_PCT = 80
 BANDS, ROWS = 40, 5  # a pair at 0.8 shares no band with probability 1.2e-7
 BATCH = 40  # signature entries compared at a time
 MISS = 1e-8
 BLOCK = 512  # members compared with each other in one block
-_CHUNK = 1 << 20  # bytes of text handled at once, or one text
+_CHUNK = 1 << 18  # bytes of text handled at once, or one text
 
 
 @lru_cache(maxsize=4)
@@ -72,7 +72,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int = SHINGLE) -> l
         own = bounds[first : last + 1] - bounds[first]
         part = data[bounds[first] : bounds[last]]
         part = np.where((part >= 65) & (part <= 90), part + 32, part).astype(np.uint8)
-        hasher = _hash(1 << max(21, int(len(part)).bit_length()))
+        hasher = _hash(1 << max(19, int(len(part)).bit_length()))
         starts, ends = _word_ranges(part, own)
         words = hasher.of(hasher.prefix(part), starts, ends)
         at = np.searchsorted(starts, own)
@@ -117,14 +117,14 @@ def _signatures(flat: np.ndarray, starts: np.ndarray, bands: int, rows: int) ->
     return keys.view(np.int64), small
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n, c1, c2 (size and fingerprints of the shingle set), keys, sig."""
+def signatures(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, k (tells its texts apart), n, c1, c2 (size and fingerprints of the shingle set), keys, sig."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                sets = shingle_sets(*text_buffer(batch.column("text")))
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                sets = shingle_sets(*text_buffer(batch.column("text")), shingle)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 some = np.flatnonzero(n)
                 c1, c2 = np.zeros(len(n), dtype=np.int64), np.zeros(len(n), dtype=np.int64)
@@ -138,13 +138,14 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
                     for i, k, s in zip(some.tolist(), own, small):
                         keys[i], sigs[i] = k, s.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n), pa.array(c1), pa.array(c2),
+                    [batch.column("doc_id"), batch.column("k"), pa.array(n), pa.array(c1), pa.array(c2),
                      pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                    names=["doc_id", "n", "c1", "c2", "keys", "sig"],
+                    names=["doc_id", "k", "n", "c1", "c2", "keys", "sig"],
                 )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return source.mapInArrow(sign, "doc_id long, n long, c1 long, c2 long, keys array<long>, sig binary")
+    source = source.withColumn("k", F.xxhash64("doc_id", "text"))
+    return source.mapInArrow(sign, "doc_id long, k long, n long, c1 long, c2 long, keys array<long>, sig binary")
 
 
 @lru_cache(maxsize=8)
@@ -256,7 +257,7 @@ def _blocks(members: DataFrame, width: int, similar: float, miss: float) -> Data
     return ordered.mapInArrow(stream, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, pct: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, pct: int, shingle: int) -> DataFrame:
     """Pairs that reach the similarity on their full sets."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = durable(nodes.join(asked, "node").select("node", "n", "c1", "c2", "low", F.xxhash64("low").alias("h")), "asked")
@@ -267,9 +268,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, pct: int) ->
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                found = [s for s in shingle_sets(*text_buffer(batch.column("text")))]
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                found = shingle_sets(*text_buffer(batch.column("text")), shingle)
                 h = batch.column("h").to_numpy()
                 some = [i for i, s in enumerate(found) if len(s)]
                 if not some:
@@ -283,7 +284,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, pct: int) ->
                 )
 
     made = source.mapInArrow(sets, "h long, n long, c1 long, c2 long, members binary")
-    found = durable(made.join(wanted, ["h", "n", "c1", "c2"]).select("node", "members"), "sets")
+    with arrow_rows(docs.sparkSession, 2000):
+        found = durable(made.join(wanted, ["h", "n", "c1", "c2"]).select("node", "members"), "sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,11 +298,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, pct: int) ->
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     both = pairs.join(found.toDF("a", "x"), "a").join(found.toDF("b", "y"), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    with arrow_rows(docs.sparkSession, 200):  # sets of long texts are wide rows
+        return durable(both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "verified")
 
 
 def near_duplicates(
-    docs: DataFrame, similar_pct: int = SIMILAR_PCT, bands: int = BANDS, rows: int = ROWS, miss: float = MISS
+    docs: DataFrame, similar_pct: int = SIMILAR_PCT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
+    miss: float = MISS,
 ) -> DataFrame:
     """Group documents whose shingle sets reach the similarity, directly or through others.
 
@@ -311,9 +315,15 @@ def near_duplicates(
     has nothing else, and then all its rows are kept. An empty table gives no rows; other columns
     are not read.
     """
+    return _grouped(docs, similar_pct, shingle, bands, rows, miss).drop("k")
+
+
+def _grouped(docs: DataFrame, similar_pct: int, shingle: int, bands: int, rows: int, miss: float) -> DataFrame:
+    """As ``near_duplicates``, with k, which tells rows of one doc_id with different texts apart."""
     similar, width = similar_pct / 100, bands * rows
     slim = docs.select("doc_id", "text")
-    signed = durable(signatures(slim, bands, rows), "signatures")
+    with arrow_rows(docs.sparkSession, 2000):
+        signed = durable(signatures(slim, shingle, bands, rows), "signatures")
     # Rows of one class have equal keys and entries, so any of them will do.
     classes = signed.filter("n > 0").groupBy("n", "c1", "c2").agg(
         F.min("doc_id").alias("low"), F.first("keys").alias("keys"), F.first("sig").alias("sig")
@@ -323,11 +333,11 @@ def near_duplicates(
     entries = nodes.select("node", "n", F.explode("keys").alias("key"))
     hubs = entries.groupBy("key").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("hub"))
     hubs = durable(hubs.filter("times > 1"), "hubs")
-    shared = BitMap(hubs, "key", 25)
+    shared = BitMap(hubs, "key", 24)
     buckets = durable(entries.filter(shared.marked("key")).join(hubs, "key"), "buckets")
     spokes = buckets.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     likely_pairs = durable(_prune(spokes, nodes, width, similar, miss), "likely")
-    links = durable(_verified(likely_pairs, slim, nodes, similar_pct), "verified")
+    links = _verified(likely_pairs, slim, nodes, similar_pct, shingle)
     found = durable(components(links), "components")
 
     placed = buckets.filter("node <> hub").join(found, "node", "left").select(
@@ -338,7 +348,7 @@ def near_duplicates(
     ).filter("x <> y").select("key", "members")
     members = placed.join(open_keys, "key").join(nodes.select("node", "sig"), "node")
     rest = durable(_blocks(members, width, similar, miss), "rest")
-    more = durable(_verified(rest, slim, nodes, similar_pct), "verified")
+    more = _verified(rest, slim, nodes, similar_pct, shingle)
     if more.limit(1).count():
         chained = found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         found = durable(components(chained.unionByName(more)), "components")
@@ -346,10 +356,35 @@ def near_duplicates(
     grouped = nodes.join(found, "node", "left").select("n", "c1", "c2", "low", F.coalesce("root", "node").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
     of_class = grouped.join(lowest, "root").select("n", "c1", "c2", "component_id")
-    joined = signed.select("doc_id", "n", "c1", "c2").filter("n > 0").join(of_class, ["n", "c1", "c2"])
-    alone = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    every = joined.select("doc_id", "n", "component_id").unionByName(alone)
+    joined = signed.select("doc_id", "k", "n", "c1", "c2").filter("n > 0").join(of_class, ["n", "c1", "c2"])
+    alone = signed.filter("n = 0").select("doc_id", "k", "n", F.col("doc_id").alias("component_id"))
+    every = joined.select("doc_id", "k", "n", "component_id").unionByName(alone)
     return every.select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        "doc_id", "k", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame, similar_pct: int = SIMILAR_PCT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
+    miss: float = MISS,
+) -> DataFrame:
+    """The documents, with all columns, of which each group keeps one.
+
+    That is the one with the smallest doc_id, once if its row repeats. Groups without any doc_id keep
+    one row of each text. Texts without words stay. Only rows that may go, or repeat, are moved.
+    """
+    groups = _grouped(docs.select("doc_id", "text"), similar_pct, shingle, bands, rows, miss)
+    stays = groups.groupBy("doc_id", "k").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n"))
+    touched = durable(stays.filter("NOT kept OR (times > 1 AND n > 0)").select("doc_id", "k", "kept"), "touched")
+    marked = docs.withColumn("_k", F.xxhash64(F.col("doc_id").cast("long"), text_of(docs)))
+    marked = marked.withColumn("_maybe", BitMap(touched, "k", 23).marked("_k"))
+    maybe = marked.filter("_maybe")
+    decided = maybe.join(
+        touched.select(F.col("doc_id").alias("_d"), F.col("k").alias("_j"), F.col("kept").alias("_kept")),
+        (F.col("_k") == F.col("_j")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_d")), "left",
+    )
+    free = decided.filter("_kept IS NULL")
+    once = decided.filter("_kept").dropDuplicates(["doc_id", "_k"])
+    return marked.filter("NOT _maybe").select(*docs.columns).unionByName(
+        free.select(*docs.columns)).unionByName(once.select(*docs.columns))

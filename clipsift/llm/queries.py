@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsift.llm import forest, neardup, packing, pieces, quality, secrets, suffixes, toxicity, wavelet
+from clipsift.llm import forest, neardup, packing, pieces, quality, quotes, secrets, suffixes, toxicity, wavelet
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
 from clipsift.tables import load
@@ -75,6 +75,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
 
 
+@query()
+def op4_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns hold no quotes; as mails that quote the turns before them they have to be told apart again."""
+    threads = quotes.link_quotes(quotes.as_mail(load(spark, sf_dir, "conversations")))
+    return threads.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+
+
 @query()
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = wavelet.write_shards(documents(spark, sf_dir), tokenizer_path(WORD_MODEL), end_id=1)
@@ -98,7 +105,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(documents(spark, sf_dir))
+    return neardup.near_duplicates(documents(spark, sf_dir), shingle=2)
 
 
 @query()

@@ -71,7 +71,7 @@ def got(df):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_brute_force(make_docs, with_clashes, seed):
     rows = corpus(seed) + [(900, None), (901, ""), (902, " \n"), (903, "Solo"), (904, "solo"), (905, "one two")]
-    assert got(neardup.near_duplicates(with_clashes(make_docs(rows, 3)))) == brute(rows)
+    assert got(neardup.near_duplicates(with_clashes(make_docs(rows, 3)), shingle=2)) == brute(rows)
 
 
 def test_small_blocks_and_large_bucket(make_docs, monkeypatch):
@@ -85,13 +85,13 @@ def test_small_blocks_and_large_bucket(make_docs, monkeypatch):
         for at in rng.sample(range(60), rng.choice([1, 3, 4, 8, 9])):
             words[at] = f"z{rng.randrange(10**6)}"
         rows.append((i, " ".join(words)))
-    assert got(neardup.near_duplicates(make_docs(rows, 3))) == brute(rows)
+    assert got(neardup.near_duplicates(make_docs(rows, 3), shingle=2)) == brute(rows)
 
 
 def test_odd_rows(make_docs):
     text = " ".join(f"t{i}" for i in range(30))
     rows = [(5, text), (5, text), (None, text), (None, "lonely words"), (None, "lonely words"), (None, None), (8, text + " end")]
-    out = sorted(str((r.doc_id, r.component_id, r.kept)) for r in neardup.near_duplicates(make_docs(rows)).collect())
+    out = sorted(str((r.doc_id, r.component_id, r.kept)) for r in neardup.near_duplicates(make_docs(rows), shingle=2).collect())
     assert out == sorted(map(str, [
         (5, 5, True), (5, 5, True), (None, 5, False), (None, None, True), (None, None, True), (None, None, True), (8, 5, False),
     ]))
@@ -129,3 +129,18 @@ def test_components(spark, shape):
     roots = union(200, links)
     touched = {x for a, b in links if a != b for x in (a, b)}
     assert {r.node: r.root for r in components(df).collect()} == {x: roots[x] for x in touched}
+
+
+def test_one_of_each_stays(make_docs, with_clashes):
+    rng = random.Random(6)
+    long = [f"t{i}" for i in range(80)]
+    near = " ".join(["changed", *long[1:]])
+    rows = [(3, " ".join(long)), (4, near), (5, " ".join(long)), (3, " ".join(long)), (6, None), (6, None), (7, "alone here"),
+            (None, near), (None, "no id at all"), (None, "no id at all"), (8, " ".join(rng.sample(long, 80))), (9, "")]
+    docs = with_clashes(make_docs(rows, 3))
+    out = neardup.without_near_duplicates(docs)
+    assert out.columns == docs.columns
+    kept = sorted(str((r.doc_id, r.text)) for r in out.collect())
+    expected = [rows[0], (6, None), (6, None), rows[6], (None, "no id at all"), rows[10], rows[11]]
+    assert kept == sorted(map(str, expected))
+    assert neardup.without_near_duplicates(make_docs([])).collect() == []
