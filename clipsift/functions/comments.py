@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clipsift.functions.text import has_laugh, word_count
 
+# Names of the comment statistics, in order.
 STAT_FIELDS = (
     "n_comments",
     "avg_len_chars",

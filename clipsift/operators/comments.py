@@ -11,10 +11,6 @@ from clipsift.functions.counts import strip
 from clipsift.functions.text import has_laugh, word_count
 from clipsift.operators.ordering import first_per_key, running_totals
 
-# Default size limits of a comment tree.
-MAX_TOTAL = 200
-MAX_REPLIES = 15
-
 # Positions per slice when root numbers are counted.
 POSITION_SPAN = 4096
 
@@ -25,14 +21,15 @@ def build_comment_tree(
     pos: str = "pos",
     level: str = "level",
     text: str = "text",
-    max_total: int = MAX_TOTAL,
-    max_replies: int = MAX_REPLIES,
+    max_total: int | None = None,
+    max_replies: int | None = None,
     span: int = POSITION_SPAN,
 ) -> DataFrame:
     """Accepted nodes as (key, pos, root_no, level, text).
 
-    Level 1 is a root, level 2 a reply. Blank texts and replies before the first root are skipped, each root keeps ``max_replies``
-    replies, and the key keeps the first ``max_total`` accepted nodes. Root numbers are counted
+    Level 1 is a root, level 2 a reply. Blank texts and replies before the first root are skipped.
+    A crawl's limits can be given: each root then keeps ``max_replies`` replies, and the key the
+    first ``max_total`` accepted nodes; without them everything is kept. Root numbers are counted
     over slices of ``span`` positions, so a key with very many nodes is spread over tasks; both
     limits cut rows before their shuffle.
     """
@@ -47,16 +44,23 @@ def build_comment_tree(
         {"root_no": (F.col("level") == 1).cast("long")},
         bucket=F.floor(F.col("pos") / F.lit(span)),
     ).filter("root_no > 0")
-    if max_replies < 1:
+    kept = rooted
+    if max_replies is not None and max_replies < 1:
         kept = rooted.filter("level = 1")
-    else:
+    elif max_replies is not None:
+        # Roots are numbered one by one, so a limit on their rows keeps them all.
         kept = first_per_key(rooted, [key, "root_no", "level"], ["pos"], max_replies, "_r").drop("_r")
-    kept = first_per_key(kept, [key], ["pos"], max_total, "_r").drop("_r")
+    if max_total is not None:
+        kept = first_per_key(kept, [key], ["pos"], max_total, "_r").drop("_r")
     return kept.select(key, "pos", "root_no", "level", "text")
 
 
 def nest_comment_tree(nodes: DataFrame, key: str = "video_id") -> DataFrame:
-    """Accepted nodes -> one nested ``comments_tree`` per key (bounded by the tree limits)."""
+    """Accepted nodes -> one nested ``comments_tree`` per key, the stored shape of a post's comments.
+
+    A post's comments are one array in one row here; statistics of very many comments come from
+    the rows (``comment_stats_by``, ``comment_flags_by``).
+    """
     is_reply = F.col("level") != 1
     roots = nodes.groupBy(key, "root_no").agg(
         F.min_by("text", "pos").alias("text"),

@@ -39,7 +39,7 @@ def q_build_comment_tree(spark, sf):
 
 @query(
     "SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY pos) - 1 AS idx, text "
-    f"FROM {tree_sql(15, 200)}"
+    f"FROM {tree_sql()}"
 )
 def q_flatten_comments(spark, sf):
     trees = comments.nest_comment_tree(comments.build_comment_tree(V.COMMENTS.df(spark, sf)))

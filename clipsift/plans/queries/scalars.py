@@ -146,8 +146,10 @@ def q_tag_text(spark, sf):
 _shown = f"(SELECT video_id, pos, level, trim(text) AS text FROM {V.COMMENTS.sql} WHERE trim(text) <> '')"
 
 
-def tree_sql(max_replies: int, max_total: int) -> str:
+def tree_sql(max_replies: int | None = None, max_total: int | None = None) -> str:
     """Accepted comment nodes, step by step."""
+    few = "" if max_replies is None else f"WHERE level = 1 OR r <= {max_replies}"
+    first = "" if max_total is None else f"WHERE t <= {max_total}"
     return f"""(
       WITH shown AS {_shown},
       rooted AS (SELECT *, sum(CASE WHEN level = 1 THEN 1 ELSE 0 END)
@@ -155,14 +157,13 @@ def tree_sql(max_replies: int, max_total: int) -> str:
       ranked AS (SELECT *, row_number() OVER (PARTITION BY video_id, root_no, level
                    ORDER BY pos) AS r FROM rooted WHERE root_no > 0),
       kept AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY pos) AS t
-                 FROM ranked WHERE level = 1 OR r <= {max_replies})
-      SELECT video_id, pos, CAST(root_no AS BIGINT) AS root_no, level, text FROM kept
-      WHERE t <= {max_total})"""
+                 FROM ranked {few})
+      SELECT video_id, pos, CAST(root_no AS BIGINT) AS root_no, level, text FROM kept {first})"""
 
 
 @query(
     f"SELECT video_id, string_agg({S.clean('text')}, ' [SEP] ' ORDER BY pos) AS joined "
-    f"FROM {tree_sql(15, 200)} GROUP BY video_id"
+    f"FROM {tree_sql()} GROUP BY video_id"
 )
 def q_join_comments(spark, sf):
     nested = trees.nest_comment_tree(trees.build_comment_tree(V.COMMENTS.df(spark, sf)))
@@ -440,7 +441,7 @@ def vector_sql(digits: int | None = 6) -> str:
         f"(SELECT p.video_id, {cols} FROM (SELECT video_id, {_counted}, "
         f"{S.date_of('date', 2025)} AS d, {_month} AS m FROM {V.POSTS.sql}) p "
         f"LEFT JOIN (SELECT video_id, {per_video} FROM (SELECT video_id, {_c} AS c "
-        f"FROM {tree_sql(15, 200)}) GROUP BY video_id) s ON p.video_id = s.video_id)"
+        f"FROM {tree_sql()}) GROUP BY video_id) s ON p.video_id = s.video_id)"
     )
 
 
@@ -471,7 +472,7 @@ _no_tags = r"regexp_replace(text, '#\S+', '', 'g')"
     "SELECT doc_id, trim(concat_ws(' ', nullif(t, ''), nullif(spoken, ''))) AS merged FROM "
     f"(SELECT doc_id, {S.clean(_no_tags)} AS t "
     f"FROM {V.CAPTIONS.sql}) LEFT JOIN (SELECT video_id, string_agg(nullif({_c}, ''), ' ' ORDER BY pos) "
-    f"AS spoken FROM {tree_sql(15, 200)} GROUP BY video_id) ON CAST(doc_id AS STRING) = video_id"
+    f"AS spoken FROM {tree_sql()} GROUP BY video_id) ON CAST(doc_id AS STRING) = video_id"
 )
 def q_merged_text(spark, sf):
     nested = trees.nest_comment_tree(trees.build_comment_tree(V.COMMENTS.df(spark, sf)))

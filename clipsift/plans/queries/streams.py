@@ -13,8 +13,11 @@ from clipsift.streaming import events, views
 from clipsift.tables import load
 
 
-def event_lines(spark, sf, *extra):
-    """Folder of event JSON lines, with ``extra`` lines after each event."""
+def event_lines(spark, sf, *extra, files=None):
+    """Folder of event JSON lines, with ``extra`` lines after each event.
+
+    With ``files`` they are dealt into so many, the latest events first.
+    """
     root = scratch_path(spark, "events")
     rows = V.EVENTS.df(spark, sf)
     line = events.event_json(
@@ -23,6 +26,8 @@ def event_lines(spark, sf, *extra):
     )
     if extra:
         line = F.explode(F.array(line, *[F.lit(e) for e in extra]))
+    if files:
+        rows = rows.repartitionByRange(files, F.desc("timestamp"))
     events.emit_events(rows.select(line.alias("value")), root)
     return root
 
@@ -103,14 +108,14 @@ def q_stream_new_ids(spark, sf):
 
 
 def _view(spark, sf, view, *keys):
-    root = event_lines(spark, sf)
-    stream = events.parse_events(events.event_source(spark, path=root)).select(
+    root = event_lines(spark, sf, files=4)
+    stream = events.parse_events(events.event_source(spark, path=root, max_files=1)).select(
         F.timestamp_seconds("timestamp").alias("ts"), F.col("source").alias("label")
     )
     out = scratch_path(spark, "view")
     events.run_available(view(stream), events.table_sink(out), scratch_path(spark, "ckpt"), "update")
     rows = views.latest(spark.read.parquet(out), *keys)
-    return rows.withColumn("bin", F.col("bin").cast("timestamp_ntz"))
+    return rows.withColumn("bin", F.col("bin").cast("timestamp_ntz")) if "bin" in keys else rows
 
 
 _binned = "(SELECT ts AS ingested_at, event_type AS label FROM events)"
@@ -129,3 +134,8 @@ def q_stream_label_counts(spark, sf):
     return _view(
         spark, sf, lambda s: views.label_counts_stream(s, every="1 hour"), "bin", "label"
     )
+
+
+@query(f"SELECT label, count(*) AS n FROM {_binned} GROUP BY 1")
+def q_stream_label_totals(spark, sf):
+    return _view(spark, sf, views.label_counts_stream, "label")

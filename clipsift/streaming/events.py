@@ -95,15 +95,19 @@ def prediction_sink(
     overwrites its own folder, so a batch that runs again leaves no duplicates.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        scored = score_events(batch, features, scorer).withColumns(
-            {
-                "ingested_at": F.current_timestamp(),
-                "outcome": F.when(F.col("label").isNotNull(), "ok").otherwise("failed"),
-            }
-        )
-        scored.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/batch_id={batch_id}")
+        batch = batch.persist()  # read by the guard, for its ids and for the join
+        try:
+            if batch.isEmpty():
+                return
+            scored = score_events(batch, features, scorer).withColumns(
+                {
+                    "ingested_at": F.current_timestamp(),
+                    "outcome": F.when(F.col("label").isNotNull(), "ok").otherwise("failed"),
+                }
+            )
+            scored.write.mode("overwrite").partitionBy("outcome").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -153,18 +157,10 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
     return query
 
 
-def new_items(
-    stream: DataFrame,
-    done: DataFrame,
-    key: str = "video_id",
-    event_time: str | None = None,
-    watermark: str | None = None,
-) -> DataFrame:
-    """Ids not processed before, each once.
+def new_items(stream: DataFrame, done: DataFrame, key: str = "video_id") -> DataFrame:
+    """Ids not in ``done``, each once over the whole stream.
 
-    The ids seen are kept as state; with an event time and a watermark the state is bounded.
+    The ids seen are kept as state, which grows with them; a job that stores what it has done
+    (``jobs.incremental``) looks there instead and keeps none.
     """
-    fresh = stream.join(done.select(key), key, "left_anti")
-    if event_time and watermark:
-        return fresh.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])
-    return fresh.dropDuplicates([key])
+    return stream.join(done.select(key), key, "left_anti").dropDuplicates([key])

@@ -1,4 +1,7 @@
-"""Live label counts and trends."""
+"""Live label counts and trends.
+
+State is one row per bin or label, so no watermark is set: rows count whenever they arrive.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +12,11 @@ from clipsift.functions.labels import display_label
 
 
 def trend_stream(
-    df: DataFrame, ts: str = "ts", label: str = "label", every: str = "5 minutes",
-    watermark: str = "1 hour",
+    df: DataFrame, ts: str = "ts", label: str = "label", every: str = "5 minutes"
 ) -> DataFrame:
-    """Labelled rows per tumbling window; the watermark bounds the state."""
+    """Labelled rows per tumbling window."""
     return (
         df.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, watermark)
         .groupBy(F.window(ts, every).alias("w"))
         .agg(F.count(label).alias("n"))
         .select(F.col("w.start").alias("bin"), "n")
@@ -23,14 +24,15 @@ def trend_stream(
 
 
 def label_counts_stream(
-    df: DataFrame, ts: str = "ts", label: str = "label", every: str = "5 minutes",
-    watermark: str = "1 hour",
+    df: DataFrame, ts: str = "ts", label: str = "label", every: str | None = None
 ) -> DataFrame:
-    """Rows per label and tumbling window."""
+    """Rows per label over the whole log, or per label and tumbling window of length ``every``."""
+    name = display_label(F.col(label)).alias("label")
+    if every is None:
+        return df.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     return (
         df.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, watermark)
-        .groupBy(F.window(ts, every).alias("w"), display_label(F.col(label)).alias("label"))
+        .groupBy(F.window(ts, every).alias("w"), name)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("bin"), "label", "n")
     )

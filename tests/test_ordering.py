@@ -195,3 +195,14 @@ def test_row_and_array_statistics_agree(spark, skewed):
     by_row = {r["k"]: tuple(r[f] for f in STAT_FIELDS) for r in comments.comment_stats_by(df, "k").collect()}
     arrays = df.groupBy("k").agg(F.collect_list("text").alias("c")).select("k", comment_stats(F.col("c")).alias("s"))
     assert by_row == {r["k"]: tuple(r["s"]) for r in arrays.collect()}
+
+
+def test_tree_without_limits_keeps_every_comment(spark):
+    rows = [("v", i, 1 if i % 40 == 0 else 2, f"t{i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "video_id string, pos long, level int, text string")
+    kept = comments.build_comment_tree(df, span=64)
+    assert kept.count() == 1000
+    tree = comments.nest_comment_tree(kept).first()["comments_tree"]
+    assert [len(c["replies"]) for c in tree] == [39] * 25
+    capped = comments.build_comment_tree(df, max_total=200, max_replies=15, span=64)
+    assert capped.count() == 200

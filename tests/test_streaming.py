@@ -76,21 +76,14 @@ def test_new_items_once_across_batches(spark, tmp_path):
     assert got == ["a", "b", "c"]
 
 
-def test_new_items_with_bounded_state(spark, tmp_path):
-    done = spark.createDataFrame([("old",)], "video_id string")
-    write_lines(tmp_path / "in", "0.txt", [line("a", 10.0), line("a", 11.0), line("old", 12.0)])
-    stream = events.parse_events(events.event_source(spark, path=str(tmp_path / "in"))).select(
-        "video_id", F.timestamp_seconds("timestamp").alias("ts"))
-    fresh = events.new_items(stream, done, event_time="ts", watermark="1 hour")
-    events.run_to_table(fresh, str(tmp_path / "out"), str(tmp_path / "ck"))
-    assert [r["video_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["a"]
-
-
-def test_trend_stream_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("hours", [(0, 1, 2), (0, 5, 1, 2)])
+def test_trend_stream_equals_batch(spark, tmp_path, hours):
     start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()
-    stamps = [start + 37 * i for i in range(120)]
-    for i in range(3):
-        write_lines(tmp_path / "in", f"{i}.txt", [line(str(t), t) for t in stamps[i * 40:(i + 1) * 40]])
+    stamps = []
+    for i, hour in enumerate(hours):  # a batch each, also out of time order
+        own = [start + 3600 * hour + 37 * n for n in range(40)]
+        write_lines(tmp_path / "in", f"{i}.txt", [line(str(t), t) for t in own])
+        stamps += own
     stream = events.parse_events(events.event_source(spark, path=str(tmp_path / "in"), max_files=1)).select(
         F.timestamp_seconds("timestamp").alias("ts"), F.col("source").alias("label"))
     out = str(tmp_path / "out")
@@ -99,3 +92,6 @@ def test_trend_stream_equals_batch(spark, tmp_path):
     batch = spark.createDataFrame([(t, "s") for t in stamps], "t double, label string").select(
         F.timestamp_seconds("t").alias("ts"), "label")
     assert live == {r["bin"]: r["n"] for r in trend(batch, fill=False).collect()}
+    totals = str(tmp_path / "totals")
+    events.run_available(views.label_counts_stream(stream), events.table_sink(totals), str(tmp_path / "ck2"), "update")
+    assert sum(r["n"] for r in views.latest(spark.read.parquet(totals), "label").collect()) == len(stamps)
