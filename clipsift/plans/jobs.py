@@ -17,20 +17,29 @@ from clipsift.operators.scaling import fit_scaler
 from clipsift.operators.sets import union_sources
 from clipsift.session import durable
 from clipsift.sources import annotations, readers, writers
-from clipsift.streaming.events import event_json, new_items, run_available
+from clipsift.streaming.events import event_json, run_available
 
 log = logging.getLogger(__name__)
 
 Build = Callable[[DataFrame], DataFrame]
 
+FEATURE_COLUMNS = ("video_emb", "audio_emb", "numeric_scaled", "comments_emb")
 
-def labeled_silver(spark: SparkSession, bronze: str, silver: str, media_root: str) -> None:
+
+def _missing(err: AnalysisException) -> bool:
+    """Whether a table is not there; any other error is one."""
+    return err.getCondition() == "PATH_NOT_FOUND"
+
+
+def labeled_silver(
+    spark: SparkSession, bronze: str, silver: str, media_root: str, multiline: bool = True
+) -> None:
     """Labelled metadata -> silver table with audit column and media path."""
-    rows = readers.read_labeled_bronze(spark, bronze)
+    rows = readers.read_labeled_bronze(spark, bronze, multiline)
     writers.write_layer(projections.with_media_path(projections.with_audit(rows), media_root), silver)
 
 
-def crawled_silver(spark: SparkSession, bronze: str, silver: str, multiline: bool = False) -> None:
+def crawled_silver(spark: SparkSession, bronze: str, silver: str, multiline: bool = True) -> None:
     """Crawled metadata -> silver table partitioned by source (append)."""
     rows = projections.extract_stats(readers.read_crawled_bronze(spark, bronze, multiline))
     writers.write_layer(projections.with_audit(rows, "processed_at"), silver, "append", ["source"])
@@ -62,22 +71,27 @@ def gold_sets(
             writers.write_layer(projections.with_feature_paths(rows, feature_root, kinds), path)
             written[name] = path
         except AnalysisException as err:
+            if not _missing(err):
+                raise
             log.warning("%s skipped: %s", name, err)
     return written
 
 
 def batch_etl(
-    spark: SparkSession, bronze: Mapping[str, str], root: str, media_root: str, feature_root: str
+    spark: SparkSession, bronze: Mapping[str, str], root: str, media_root: str, feature_root: str,
+    multiline: bool = True,
 ) -> dict[str, str]:
-    """Bronze to silver for both sources, then silver to gold."""
+    """Bronze to silver for both sources, then silver to gold; a missing source skips its half."""
     labeled, crawled = f"{root}/silver/labeled", f"{root}/silver/crawled"
     for job in (
-        lambda: labeled_silver(spark, bronze["labeled"], labeled, media_root),
-        lambda: crawled_silver(spark, bronze["crawled"], crawled),
+        lambda: labeled_silver(spark, bronze["labeled"], labeled, media_root, multiline),
+        lambda: crawled_silver(spark, bronze["crawled"], crawled, multiline),
     ):
         try:
             job()
         except AnalysisException as err:
+            if not _missing(err):
+                raise
             log.warning("silver step skipped: %s", err)
     return gold_sets(spark, labeled, crawled, f"{root}/gold", feature_root)
 
@@ -92,8 +106,9 @@ def metadata_features(
 ) -> DataFrame:
     """Posts -> silver metadata features: scaled and raw numerics, three text vectors.
 
-    ``posts`` holds the five counts, date, description, tags and comment_texts. Each text is read
-    once; the narrow raw features are written, since the scaler and the output both read them.
+    ``posts`` holds the five counts, date, description, tags and comment_texts. The 25 numbers are
+    written once, since the scaler reads them before the output does; the texts are encoded only
+    for the output.
     """
     names = joins.NUMERIC_FEATURES
     texts = {
@@ -101,15 +116,14 @@ def metadata_features(
         "tags": normalize_text(tag_text(F.col("tags"))),
         "comments": join_comments(F.col("comment_texts")),
     }
-    rows = numeric_vector(posts, **vector_options)
-    for name, text in texts.items():
-        rows = encode_text(rows.withColumn("_t", text), "_t", dim, f"{name}_emb", encoder)
-    vectors = ["numeric_raw", *[f"{name}_emb" for name in texts]]
-    raw = durable(rows.select(key, *names, *vectors), "numeric")
-    scaled = fit_scaler(raw, names, sample_n, key if sample_n else None).transform(raw)
-    return scaled.select(
-        key, F.array(*[F.col(n) for n in names]).alias("numeric_scaled"), *vectors
-    )
+    raw = durable(numeric_vector(posts, **vector_options).select(key, *names), "numeric")
+    both = raw.withColumn("numeric_raw", F.array(*[F.col(n) for n in names]))
+    scaled = fit_scaler(raw, names, sample_n, key if sample_n else None).transform(both)
+    scaled = scaled.select(key, F.array(*[F.col(n) for n in names]).alias("numeric_scaled"), "numeric_raw")
+    rows = posts.select(key, *[text.alias(f"_{name}") for name, text in texts.items()])
+    for name in texts:
+        rows = encode_text(rows, f"_{name}", dim, f"{name}_emb", encoder)
+    return scaled.join(rows.select(key, *[f"{name}_emb" for name in texts]), key)
 
 
 def full_features(
@@ -119,60 +133,107 @@ def full_features(
     labels: DataFrame | None = None,
     key: str = "video_id",
     drop: Sequence[int] | None = None,
+    save: str | None = None,
 ) -> DataFrame:
     """Gold rows for ``items``: features already in ``silver`` are reused, others built.
 
     Both hold (key, video_emb, audio_emb, numeric_scaled, comments_emb); an item whose feature
-    is null is left out without failing the others.
+    is null is left out without failing the others (``failed_items`` lists it). Complete new rows
+    are added to the silver table ``save``, so that the next run finds them.
     """
     wanted = items.select(key).distinct()
     marked = joins.resume_split(wanted, silver, key)
     fresh = build(marked.filter(~F.col("reused")).select(key))
     kept = silver.join(marked.filter("reused").select(key), key, "left_semi")
+    if save is not None:
+        fresh = durable(fresh, "fresh")
+        writers.write_layer(_complete(fresh).select(*silver.columns), save, "append")
     rows = union_sources(kept, fresh)
     return joins.finish_rows(rows, labels, key, drop)
 
 
+def _complete(rows: DataFrame) -> DataFrame:
+    return rows.filter(" and ".join(f"{c} is not null" for c in FEATURE_COLUMNS))
+
+
+def failed_items(items: DataFrame, gold: DataFrame, key: str = "video_id") -> DataFrame:
+    """Items that were wanted and have no gold row."""
+    return items.select(key).distinct().join(gold.select(key), key, "left_anti")
+
+
 def incremental(
     stream: DataFrame,
-    silver: DataFrame,
+    silver: str,
     build: Build,
-    gold: str,
-    events: str,
+    root: str,
     checkpoint: str,
     source: str = "watcher",
     labels: DataFrame | None = None,
     drop: Sequence[int] | None = None,
+    audio_width: int | None = None,
 ) -> None:
-    """New ids on a stream -> gold rows and one event per finished item.
+    """New ids on a stream -> features, gold rows and one event per finished item, below ``root``.
 
-    Every batch overwrites its own folders, so a batch that runs again changes nothing.
+    An id is new if neither the table ``silver`` nor an earlier batch has its features; no state
+    is kept. Failed audio becomes zeros of ``audio_width``; other items without a feature go to
+    ``failed`` and are tried again when they come again. New features go to ``silver``, gold rows
+    to ``gold``, events to ``events``, each in the batch's own folder, which a batch that runs
+    again overwrites.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        target = f"batch_id={batch_id}"
-        writers.write_gold(full_features(batch, silver, build, labels, drop=drop), f"{gold}/{target}")
-        done = readers.read_gold(batch.sparkSession, f"{gold}/{target}", ["video_id"])
+        spark, target = batch.sparkSession, f"batch_id={batch_id}"
+        wanted = batch.select("video_id").filter("video_id is not null").distinct()
+        known = _if_there(spark, silver)
+        if known is not None:
+            wanted = wanted.join(known.select("video_id"), "video_id", "left_anti")
+        built = _if_there(spark, f"{root}/silver")
+        if built is not None:
+            earlier = built.filter(F.col("batch_id") != batch_id).select("video_id")
+            wanted = wanted.join(earlier, "video_id", "left_anti")
+        wanted = durable(wanted, "wanted")
+        rows = build(wanted)
+        if audio_width is not None:
+            silence = F.array_repeat(F.lit(0.0).cast("float"), audio_width)
+            rows = rows.withColumn("audio_emb", F.coalesce("audio_emb", silence))
+        done_path = f"{root}/silver/{target}"
+        _complete(rows).select("video_id", *FEATURE_COLUMNS).write.mode("overwrite").parquet(done_path)
+        done = spark.read.parquet(done_path)
+        failed_items(wanted, done).write.mode("overwrite").parquet(f"{root}/failed/{target}")
+        writers.gold_rows(joins.finish_rows(done, labels, drop=drop)).write.mode("overwrite").parquet(
+            f"{root}/gold/{target}"
+        )
         path = F.concat(F.lit("bronze/"), F.col("video_id"), F.lit("/video.mp4"))
         note = event_json(
             F.col("video_id"), F.lit(source), path, F.unix_micros(F.current_timestamp()) / F.lit(1e6),
             F.create_map(F.lit("status"), F.lit("ready")),
         )
-        done.select(note.alias("value")).write.mode("overwrite").text(f"{events}/{target}")
+        done.select(note.alias("value")).write.mode("overwrite").text(f"{root}/events/{target}")
 
-    run_available(new_items(stream, silver.select("video_id")), write, checkpoint)
+    run_available(stream.select("video_id"), write, checkpoint)
+
+
+def _if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as err:
+        if not _missing(err):
+            raise
+        return None
 
 
 def label_refresh(
     gold: DataFrame, tasks: DataFrame, json_col: str, ordinal: str, path: str
 ) -> DataFrame:
-    """Gold rows with the labels of an annotation export, saved to ``path``; returns the change count."""
+    """Gold rows with the labels of an annotation export, saved to ``path``; returns the change count.
+
+    ``path`` may be the table that ``gold`` reads; it is replaced as a whole after a complete
+    write, and left alone if no label changes.
+    """
     labels = annotations.parse_annotations(tasks, json_col, ordinal)
-    updated = joins.update_labels(gold, labels)
-    writers.write_gold(updated, path)
-    return updated.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("changed").alias("updated_count")
+    updated = writers.gold_rows(joins.update_labels(gold, labels), "changed")
+    counts = writers.replace_table(updated, path, may_be_empty=False, changed=F.count_if("changed"))
+    return gold.sparkSession.createDataFrame(
+        [(counts["n"], counts["changed"])], "n long, updated_count long"
     )
 
 

@@ -17,6 +17,7 @@ from clipsift.plans.queries.storage import by_id_sql, crawled_events, gold_rows
 from clipsift.plans.queries.streams import event_lines
 from clipsift.plans.registry import query
 from clipsift.session import scratch_path
+from clipsift.sources import writers
 from clipsift.streaming import events
 from clipsift.tables import load
 
@@ -48,7 +49,7 @@ def crawled_bronze(spark, sf):
 )
 def q_job_labeled_silver(spark, sf):
     out = scratch_path(spark, "silver")
-    jobs.labeled_silver(spark, labeled_bronze(spark, sf), out, MEDIA)
+    jobs.labeled_silver(spark, labeled_bronze(spark, sf), out, MEDIA, multiline=False)
     return spark.read.parquet(out).select(
         "video_id", "label", "source", "split", "bronze_video_path",
         F.col("ingested_at").isNotNull().alias("stamped"),
@@ -62,7 +63,7 @@ def q_job_labeled_silver(spark, sf):
 )
 def q_job_crawled_silver(spark, sf):
     out = scratch_path(spark, "silver")
-    jobs.crawled_silver(spark, crawled_bronze(spark, sf), out)
+    jobs.crawled_silver(spark, crawled_bronze(spark, sf), out, multiline=False)
     return spark.read.parquet(out).groupBy("source").agg(
         F.count(F.lit(1)).alias("n"), F.count("likes").alias("n_likes"), F.sum("likes").alias("likes"),
         F.sum(F.col("comments_count").try_cast("long")).alias("comments"),
@@ -80,8 +81,8 @@ def q_job_crawled_silver(spark, sf):
 def q_job_gold_sets(spark, sf):
     root = scratch_path(spark, "medallion")
     labeled, crawled = f"{root}/silver/labeled", f"{root}/silver/crawled"
-    jobs.labeled_silver(spark, labeled_bronze(spark, sf), labeled, MEDIA)
-    jobs.crawled_silver(spark, crawled_bronze(spark, sf), crawled)
+    jobs.labeled_silver(spark, labeled_bronze(spark, sf), labeled, MEDIA, multiline=False)
+    jobs.crawled_silver(spark, crawled_bronze(spark, sf), crawled, multiline=False)
     ready = load(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("video_id"))
     sets = jobs.gold_sets(spark, labeled, crawled, f"{root}/gold", FEATURES, ready)
     return spark.read.parquet(sets["training_set"]).select(
@@ -100,7 +101,7 @@ def q_job_gold_sets(spark, sf):
 )
 def q_job_batch_etl(spark, sf):
     bronze = {"labeled": labeled_bronze(spark, sf), "crawled": crawled_bronze(spark, sf)}
-    sets = jobs.batch_etl(spark, bronze, scratch_path(spark, "medallion"), MEDIA, FEATURES)
+    sets = jobs.batch_etl(spark, bronze, scratch_path(spark, "medallion"), MEDIA, FEATURES, multiline=False)
     parts = [
         spark.read.parquet(path).agg(
             F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.count_distinct("video_id").alias("n_ids")
@@ -197,31 +198,55 @@ def q_job_full_features(spark, sf):
 
 
 @query(
-    f"SELECT video_id, 'watcher' AS source, concat('bronze/', video_id, '/video.mp4') AS raw_path, 'ready' AS status "
-    f"FROM {FULL_SQL} WHERE video_id IN (SELECT video_id FROM {V.EVENTS.sql}) AND video_id NOT IN "
-    "(SELECT CAST(vec_id AS STRING) FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels))"
+    f"WITH e AS (SELECT DISTINCT video_id FROM {V.EVENTS.sql}), "
+    "n AS (SELECT video_id FROM e WHERE video_id NOT IN "
+    "(SELECT CAST(vec_id AS STRING) FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels))), "
+    "r AS (SELECT n.video_id, d.doc_id IS NOT NULL AS ready, CASE WHEN lang = 'es' THEN 0 ELSE n_chars END AS audio, "
+    "coalesce(quality, -1) AS label FROM n LEFT JOIN documents d ON CAST(d.doc_id AS STRING) = n.video_id "
+    "LEFT JOIN labels l ON l.doc_id = d.doc_id) "
+    "SELECT video_id, CASE WHEN ready THEN 'watcher' END AS source, "
+    "CASE WHEN ready THEN concat('bronze/', video_id, '/video.mp4') END AS raw_path, "
+    "CASE WHEN ready THEN 'ready' ELSE 'failed' END AS status, CASE WHEN ready THEN CAST(audio AS DOUBLE) END AS audio, "
+    "CASE WHEN ready THEN CAST(label AS BIGINT) END AS label FROM r"
 )
 def q_job_incremental(spark, sf):
-    stream = events.parse_events(events.event_source(spark, path=event_lines(spark, sf))).select("video_id")
-    gold, out = scratch_path(spark, "gold"), scratch_path(spark, "ready")
+    """Several batches; the last holds only items that fail."""
+    root, lines = scratch_path(spark, "watcher"), scratch_path(spark, "events")
+    rows = V.EVENTS.df(spark, sf).select("video_id", F.struct("video_id", "source", "raw_path", "timestamp").alias("e"))
+    docs = load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("video_id"), F.lit(1).alias("fine"))
+    kind = F.when(F.col("fine").isNull(), 3).otherwise(F.pmod(F.xxhash64("e.raw_path"), F.lit(3)))
+    ordered = rows.join(docs, "video_id", "left").select(F.to_json("e").alias("value"), kind.alias("file"))
+    for file in range(4):  # a batch each, the failures last
+        ordered.filter(F.col("file") == file).select("value").coalesce(1).write.mode("append").text(lines)
+    silver = scratch_path(spark, "silver")
+    stored_silver(spark, sf).write.parquet(silver)
+    stream = events.parse_events(events.event_source(spark, path=lines, max_files=1))
     jobs.incremental(
-        stream, stored_silver(spark, sf), build_features(spark, sf), gold, out,
-        scratch_path(spark, "ckpt"), labels=known_labels(spark, sf),
+        stream, silver, build_features(spark, sf), root, scratch_path(spark, "ckpt"),
+        labels=known_labels(spark, sf), audio_width=32,
     )
-    return events.parse_events(spark.read.text(out).select("value")).select(
+    ready = events.parse_events(spark.read.text(f"{root}/events").select("value")).select(
         "video_id", "source", "raw_path", F.col("metadata")["status"].alias("status")
     )
+    gold = spark.read.parquet(f"{root}/gold").select(
+        "video_id", F.get("audio_emb", F.lit(0)).cast("double").alias("audio"), "label"
+    )
+    failed = spark.read.parquet(f"{root}/failed").select("video_id").distinct().withColumn("status", F.lit("failed"))
+    return ready.join(gold, "video_id").unionByName(failed, allowMissingColumns=True)
 
 
 @query(
-    "SELECT count(*) AS n, count(*) FILTER (WHERE t.label IS NOT NULL AND t.label <> coalesce(quality, -1)) AS updated_count "
+    "SELECT CAST(vec_id AS STRING) AS video_id, CAST(coalesce(t.label, quality, -1) AS BIGINT) AS label, "
+    "count(*) FILTER (WHERE t.label IS NOT NULL AND t.label <> coalesce(quality, -1)) OVER () AS updated_count "
     f"FROM embeddings LEFT JOIN labels ON vec_id = doc_id LEFT JOIN {by_id_sql(V.TASKS_A.sql)} t "
     "ON t.video_id = CAST(vec_id AS STRING)"
 )
 def q_job_label_refresh(spark, sf):
-    return jobs.label_refresh(
-        gold_rows(spark, sf), V.TASKS_A.df(spark, sf), "task", "ordinal", scratch_path(spark, "gold")
-    )
+    """A gold table refreshed in place and read back."""
+    path = scratch_path(spark, "gold")
+    writers.write_gold(gold_rows(spark, sf), path)
+    counts = jobs.label_refresh(spark.read.parquet(path), V.TASKS_A.df(spark, sf), "task", "ordinal", path)
+    return spark.read.parquet(path).select("video_id", "label", counts.select("updated_count").scalar().alias("updated_count"))
 
 
 def _four(df):

@@ -29,7 +29,7 @@ def q_read_labeled_json(spark, sf):
         "n_chars",
         F.col("lang").alias("folder"),
     ).write.partitionBy("folder").json(root)
-    return readers.read_labeled_bronze(spark, f"{root}/*/*.json")
+    return readers.read_labeled_bronze(spark, f"{root}/*/*.json", multiline=False)
 
 
 def crawled_events(spark, sf):
@@ -66,7 +66,7 @@ def q_read_crawled_json(spark, sf):
     root = scratch_path(spark, "crawled")
     df = crawled_events(spark, sf)
     df.withColumn("folder", F.col("source")).write.partitionBy("folder").json(root)
-    return readers.read_crawled_bronze(spark, f"{root}/*/*.json").select(
+    return readers.read_crawled_bronze(spark, f"{root}/*/*.json", multiline=False).select(
         "video_id", "url", "timestamp", "source", "description",
         F.col("stats")["likes"].alias("likes"),
         F.col("stats")["comments"].alias("comments"),
@@ -74,18 +74,20 @@ def q_read_crawled_json(spark, sf):
     )
 
 
-@query("SELECT source AS folder, doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents")
+@query("SELECT concat('v', doc_id) AS folder, doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents")
 def q_read_keyed_metadata(spark, sf):
-    """Every document once per folder, with a blank and a broken line after each."""
+    """Every document as an indented file in a folder of its own; every tenth has a broken neighbour."""
     root = scratch_path(spark, "keyed")
-    good = F.to_json(F.struct("doc_id", "lang", "n_chars", "text"))
-    lines = F.explode(F.array(good, F.lit(""), F.lit('{"doc_id": ')))
-    load(spark, sf, "documents").select("source", lines.alias("value")).write.partitionBy(
-        "source"
-    ).text(root)
+    good = F.to_json(F.struct("doc_id", "lang", "n_chars", "text"), {"pretty": "true"})
+    both = F.when(
+        F.col("doc_id") % 10 == 0,
+        F.array(F.struct(F.concat(F.lit("v"), "doc_id").alias("id"), good.alias("value")),
+                F.struct(F.concat(F.lit("x"), "doc_id").alias("id"), F.lit('{"doc_id": ').alias("value"))),
+    ).otherwise(F.array(F.struct(F.concat(F.lit("v"), "doc_id").alias("id"), good.alias("value"))))
+    load(spark, sf, "documents").select(F.explode(both).alias("f")).select("f.*").write.partitionBy("id").text(root)
     rows = readers.read_keyed_metadata(
         spark, root, "doc_id long, lang string, n_chars long, text string", "folder",
-        r"source=([^/]+)/[^/]+$",
+        r"id=([^/]+)/[^/]+$", files="*.txt",
     )
     return rows.select("folder", "doc_id", "lang", "n_chars", F.md5("text").alias("text_md5"))
 

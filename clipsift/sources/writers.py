@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clipsift import schemas
@@ -13,20 +14,64 @@ from clipsift import schemas
 def write_layer(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:
-    """Parquet table; ``append`` adds rows again on a rerun."""
+    """Parquet table; ``append`` adds rows again on a rerun, ``overwrite`` replaces the table as a whole."""
+    if mode == "overwrite":
+        replace_table(df, path, partition_by=partition_by)
+        return
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def write_gold(df: DataFrame, path: str) -> None:
-    """Gold rows in the fixed schema; refuses an empty set."""
+def replace_table(
+    df: DataFrame, path: str, may_be_empty: bool = True, partition_by: Sequence[str] = (), **counts: Column
+) -> dict[str, int]:
+    """Write ``df`` beside ``path`` and put it in its place; the old table stays until then.
+
+    ``df`` may read ``path`` itself. One execution also gives the row count ``n`` and ``counts``.
+    A failed write, an empty result where none may be, and a count ``changed`` of 0 leave the old
+    table as it is.
+    """
+    spark, seen = df.sparkSession, Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in counts.items()])
+    if "changed" in df.columns and "changed" in counts:
+        observed = observed.drop("changed")
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer = observed.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(fresh)
+        found = dict(seen.get)
+        if not found["n"] and not may_be_empty:
+            raise ValueError("no rows to save")
+        there = files.exists(place(path))
+        if there and found.get("changed") == 0:
+            return found
+        if there and not files.rename(place(path), place(old)):
+            raise OSError(f"cannot move {path}")
+        if not files.rename(place(fresh), place(path)):
+            if there:
+                files.rename(place(old), place(path))
+            raise OSError(f"cannot move {fresh}")
+        files.delete(place(old), True)
+        return found
+    finally:
+        files.delete(place(fresh), True)
+
+
+def gold_rows(df: DataFrame, *more: str) -> DataFrame:
+    """The columns of a gold table in its fixed types, and ``more``."""
     target = df.sparkSession.createDataFrame([], schemas.GOLD_ROW).schema
-    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
-    if rows.isEmpty():
-        raise ValueError("no rows to save")
-    rows.write.mode("overwrite").parquet(path)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target], *more)
+
+
+def write_gold(df: DataFrame, path: str, may_be_empty: bool = False) -> int:
+    """Gold rows in the fixed schema; refuses an empty set unless told otherwise. Returns the count."""
+    return replace_table(gold_rows(df), path, may_be_empty)["n"]
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:

@@ -32,9 +32,18 @@ def test_labeled_reader_ignores_extra_fields(spark, tmp_path):
 
 
 def test_pretty_printed_documents(spark, tmp_path):
-    put(tmp_path / "v1" / "metadata.json", json.dumps({"video_id": "v1", "stats": {"likes": "3"}}, indent=2))
-    got = readers.read_crawled_bronze(spark, f"{tmp_path}/*/*.json", multiline=True).first()
-    assert got["stats"] == {"likes": "3"}
+    for i in range(3):
+        put(tmp_path / f"v{i}" / "metadata.json", json.dumps({"video_id": f"v{i}", "label": "Safe", "likes": "3K", "stats": {"likes": "3"}}, indent=2))
+    assert [r["stats"] for r in readers.read_crawled_bronze(spark, f"{tmp_path}/*/*.json").collect()] == [{"likes": "3"}] * 3
+    assert {r["label"] for r in readers.read_labeled_bronze(spark, f"{tmp_path}/*/*.json").collect()} == {"Safe"}
+    keyed = readers.read_keyed_metadata(spark, str(tmp_path), "likes string")
+    assert keyed.count() == 3 and {(r["video_id"], r["likes"]) for r in keyed.collect()} == {(f"v{i}", "3K") for i in range(3)}
+
+
+def test_one_document_a_line(spark, tmp_path):
+    put(tmp_path / "v1" / "metadata.json", '{"likes": "1"}\n\n{"likes": "2"}\n{"likes"')
+    got = readers.read_keyed_metadata(spark, str(tmp_path), "likes string", multiline=False)
+    assert got.count() == 2 and {r["likes"] for r in got.collect()} == {"1", "2"}
 
 
 def test_keyed_reader_takes_the_folder_and_skips_broken_files(spark, tmp_path):
@@ -124,23 +133,88 @@ def test_full_features_builds_only_what_is_missing(spark):
     assert got == {"a": [1.0], "b": [2.0]} and asked == ["b", "c"]
 
 
-def test_incremental_over_two_runs(spark, tmp_path):
+def test_incremental_over_runs(spark, tmp_path):
+    """Copies, known ids, a batch of failures only, silent audio, and a failed id that comes again."""
     from clipsift.streaming import events
 
-    silver = layers(spark, ["old"], 1.0)
+    layers(spark, ["old"], 1.0).write.parquet(str(tmp_path / "silver"))
+    fail = {"bad"}
 
     def build(items):
         one = F.array(F.lit(1.0).cast("float"))
-        return items.select("video_id", one.alias("video_emb"), one.alias("audio_emb"),
+        video = F.when(~F.col("video_id").isin(*fail), one) if fail else one
+        return items.select("video_id", video.alias("video_emb"), F.when(F.col("video_id") != "mute", one).alias("audio_emb"),
                             F.array_repeat(F.lit(1.0).cast("float"), 25).alias("numeric_scaled"), one.alias("comments_emb"))
 
-    for i, names in enumerate((["old", "a", "a"], ["a", "b"])):
+    root = str(tmp_path / "out")
+    for i, names in enumerate((["old", "a", "a"], ["bad"], ["a", "b", "mute"], ["bad", "a"])):
+        if i == 3:
+            fail.clear()
         put(tmp_path / "in" / f"{i}.txt", "\n".join(json.dumps({"video_id": n}) for n in names))
-        stream = events.parse_events(events.event_source(spark, path=str(tmp_path / "in"))).select("video_id")
-        jobs.incremental(stream, silver, build, str(tmp_path / "gold"), str(tmp_path / "ev"), str(tmp_path / "ck"))
-    done = events.parse_events(spark.read.text(str(tmp_path / "ev")).select("value"))
-    assert sorted(r["video_id"] for r in done.collect()) == ["a", "b"]
-    assert sorted(r["video_id"] for r in spark.read.parquet(str(tmp_path / "gold")).collect()) == ["a", "b"]
+        stream = events.parse_events(events.event_source(spark, path=str(tmp_path / "in")))
+        jobs.incremental(stream, str(tmp_path / "silver"), build, root, str(tmp_path / "ck"), audio_width=2)
+    done = events.parse_events(spark.read.text(f"{root}/events").select("value"))
+    assert sorted(r["video_id"] for r in done.collect()) == ["a", "b", "bad", "mute"]
+    gold = {r["video_id"]: r["audio_emb"] for r in spark.read.parquet(f"{root}/gold").collect()}
+    assert gold == {"a": [1.0], "b": [1.0], "bad": [1.0], "mute": [0.0, 0.0]}
+    assert [r["video_id"] for r in spark.read.parquet(f"{root}/failed").collect()] == ["bad"]
+
+
+def gold_table(spark, labels):
+    one = F.array(F.lit(1.0).cast("float"))
+    rows = spark.createDataFrame(labels, "video_id string, label long")
+    return rows.select("video_id", *[one.alias(c) for c in ("video_emb", "audio_emb", "text_emb", "metadata_numeric")], "label")
+
+
+def read_labels(spark, path):
+    return {r["video_id"]: r["label"] for r in spark.read.parquet(path).collect()}
+
+
+def test_label_refresh_in_place(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    writers.write_gold(gold_table(spark, [("a", 0), ("b", 1)]), path)
+    task = '{"id":1,"data":{"video":"s://x/bronze/a/video.mp4"},"annotations":[{"result":[{"value":{"choices":["NOT SAFE"]}}]}]}'
+    tasks = spark.createDataFrame([(1, task), (2, task)], "ordinal long, task string")
+    got = jobs.label_refresh(spark.read.parquet(path), tasks, "task", "ordinal", path).first()
+    after = read_labels(spark, path)
+    assert (got["n"], got["updated_count"]) == (2, 1) and after["b"] == 1 and after["a"] != 0
+    files = {p.name for p in (tmp_path / "gold").iterdir()}
+    assert jobs.label_refresh(spark.read.parquet(path), tasks, "task", "ordinal", path).first()["updated_count"] == 0
+    assert files == {p.name for p in (tmp_path / "gold").iterdir()}  # nothing changed, nothing written
+    assert [p.name for p in tmp_path.iterdir()] == ["gold"]
+
+
+def test_failing_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    writers.write_gold(gold_table(spark, [("a", 0)]), path)
+    with pytest.raises(Exception):
+        broken = spark.read.parquet(path).withColumn("label", F.raise_error(F.lit("no")).cast("long"))
+        writers.write_layer(broken, path)
+    with pytest.raises(ValueError):
+        writers.write_gold(spark.read.parquet(path).limit(0), path)
+    assert read_labels(spark, path) == {"a": 0} and [p.name for p in tmp_path.iterdir()] == ["gold"]
+
+
+def test_schema_errors_are_not_swallowed(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    spark.createDataFrame([("a",)], "video_id string").write.parquet(str(tmp_path / "labeled"))
+    ids = spark.createDataFrame([("a",)], "wrong string")
+    with pytest.raises(AnalysisException):
+        jobs.gold_sets(spark, str(tmp_path / "labeled"), str(tmp_path / "none"), str(tmp_path / "gold"), "s://f/", ids)
+
+
+def test_full_features_saves_what_it_built(spark, tmp_path):
+    items = spark.createDataFrame([("a",), ("b",), ("c",)], "video_id string")
+    silver = str(tmp_path / "silver")
+    layers(spark, ["a"], 1.0).write.parquet(silver)
+
+    def build(wanted):
+        return layers(spark, ["b"], 2.0).unionByName(spark.createDataFrame([("c", None, [1.0], [1.0] * 25, [1.0])], SILVER))
+
+    gold = jobs.full_features(items, spark.read.parquet(silver), build, save=silver)
+    assert sorted(r["video_id"] for r in spark.read.parquet(silver).collect()) == ["a", "b"]
+    assert [r["video_id"] for r in jobs.failed_items(items, gold).collect()] == ["c"]
 
 
 def test_latency_report_of_the_latest_rows(spark):
