@@ -185,6 +185,10 @@ def overhead(df: DataFrame) -> DataFrame:
     return df.agg((mean_e2e * 1000 - mean_inf).alias("overhead_ms"))
 
 
+# Bins that one row of the spine is spread into.
+SPAN_BINS = 10_000
+
+
 def trend(
     df: DataFrame, ts: str = "ts", label: str = "label", every: str = "5 minutes", fill: bool = True
 ) -> DataFrame:
@@ -197,8 +201,12 @@ def trend(
     if not fill:
         return bins
     step = F.expr(f"interval {every}")
-    spine = bins.agg(F.min("bin").alias("a"), F.max("bin").alias("b")).select(
-        F.explode(F.sequence("a", "b", step)).alias("bin")
+    ends = bins.agg(F.min("bin").alias("a"), F.max("bin").alias("b"))
+    # Spans of many bins first, dealt out, then the bins of each, so no row holds them all.
+    span = F.expr(f"interval {every}") * F.lit(SPAN_BINS)
+    starts = ends.select("b", F.explode(F.sequence("a", "b", span)).alias("s")).repartition("s")
+    spine = starts.select(
+        F.explode(F.sequence("s", F.least(F.col("b"), F.col("s") + span - step), step)).alias("bin")
     )
     return spine.join(bins, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 

@@ -46,6 +46,17 @@ NUMERIC_FEATURES = (
 COUNT_FEATURES = ("n_comments", "n_toxic_comments", "n_constructive_comments")
 
 
+def one_per_id(df: DataFrame, key: str, ordinal: str | None = None) -> DataFrame:
+    """One row per id: the last in the order of ``ordinal``, without one the greatest row.
+
+    Partial aggregation before the shuffle; a join on the id needs no further one.
+    """
+    rest = [c for c in df.columns if c != key]
+    row = F.struct(*rest)
+    best = F.max(row) if ordinal is None else F.max_by(row, F.struct(ordinal, *[c for c in rest if c != ordinal]))
+    return df.groupBy(key).agg(best.alias("_row")).select(key, "_row.*")
+
+
 def count_positions(names: Sequence[str] = NUMERIC_FEATURES) -> list[int]:
     return [i for i, n in enumerate(names) if n in COUNT_FEATURES]
 
@@ -61,9 +72,11 @@ def assemble_features(
     """Items that have all three feature sets, with their label (-1 when there is none).
 
     ``video``(key, video_emb), ``audio``(key, audio_emb), ``meta``(key, numeric_scaled,
-    comments_emb), ``labels``(key, label).
+    comments_emb), ``labels``(key, label). Repeated ids on the right give one row.
     """
-    return finish_rows(video.join(audio, key).join(meta, key), labels, key, drop)
+    rows = video.join(one_per_id(audio.select(key, "audio_emb"), key), key)
+    rows = rows.join(one_per_id(meta.select(key, "numeric_scaled", "comments_emb"), key), key)
+    return finish_rows(rows, labels, key, drop)
 
 
 def finish_rows(
@@ -77,7 +90,7 @@ def finish_rows(
     rows = rows.filter("video_emb is not null and audio_emb is not null")
     rows = rows.filter("numeric_scaled is not null and comments_emb is not null")
     if labels is not None:
-        rows = rows.join(labels.select(key, "label"), key, "left")
+        rows = rows.join(one_per_id(labels.select(key, "label"), key), key, "left")
     else:
         rows = rows.withColumn("label", F.lit(None).cast("int"))
     numeric = select_dims(F.col("numeric_scaled"), drop) if drop else F.col("numeric_scaled")
@@ -125,12 +138,16 @@ def resolve_label(
     bronze: DataFrame,
     key: str = "video_id",
     default: int = UNLABELLED,
+    ordinal: str | None = None,
 ) -> DataFrame:
     """Add ``stored_label`` (gold, silver, bronze) and ``row_label`` (silver, bronze, stored).
 
     ``gold``/``silver`` carry the label as JSON text in ``label``; ``bronze`` carries the texts
-    ``label`` and ``label_raw``. All three hold one row per id.
+    ``label`` and ``label_raw``. Of repeated ids the last by ``ordinal`` counts.
     """
+    order = [ordinal] if ordinal else []
+    gold, silver = (one_per_id(t.select(key, "label", *order), key, ordinal) for t in (gold, silver))
+    bronze = one_per_id(bronze.select(key, "label", "label_raw", *order), key, ordinal)
     joined = (
         items.join(gold.select(key, json_label(F.col("label")).alias("_gold")), key, "left")
         .join(silver.select(key, json_label(F.col("label")).alias("_silver")), key, "left")
@@ -153,9 +170,19 @@ def resolve_label(
     ).drop("_gold", "_silver", "_bronze", "_given")
 
 
-def update_labels(df: DataFrame, labels: DataFrame, key: str = "video_id") -> DataFrame:
-    """Replace labels by the given ones; ``changed`` marks rows whose value differs."""
-    new = labels.select(key, F.col("label").alias("_new"))
+def _given_labels(labels: DataFrame, key: str, ordinal: str | None, name: str) -> DataFrame:
+    columns = [key, "label", *([ordinal] if ordinal else [])]
+    return one_per_id(labels.select(*columns), key, ordinal).select(key, F.col("label").alias(name))
+
+
+def update_labels(
+    df: DataFrame, labels: DataFrame, key: str = "video_id", ordinal: str | None = None
+) -> DataFrame:
+    """Replace labels by the given ones; ``changed`` marks rows whose value differs.
+
+    Of several labels for one id the last by ``ordinal`` counts.
+    """
+    new = _given_labels(labels, key, ordinal, "_new")
     return (
         df.join(new, key, "left")
         .withColumn("changed", F.col("_new").isNotNull() & ~F.col("_new").eqNullSafe(F.col("label")))
@@ -164,9 +191,14 @@ def update_labels(df: DataFrame, labels: DataFrame, key: str = "video_id") -> Da
     )
 
 
-def verify_labels(df: DataFrame, manual: DataFrame, key: str = "video_id") -> DataFrame:
-    """Add ``status`` (match, mismatch, missing) and ``verified_label`` (manual wins)."""
-    joined = df.join(manual.select(key, F.col("label").alias("_manual")), key, "left")
+def verify_labels(
+    df: DataFrame, manual: DataFrame, key: str = "video_id", ordinal: str | None = None
+) -> DataFrame:
+    """Add ``status`` (match, mismatch, missing) and ``verified_label`` (manual wins).
+
+    Of several manual labels for one id the last by ``ordinal`` counts.
+    """
+    joined = df.join(_given_labels(manual, key, ordinal, "_manual"), key, "left")
     status = (
         F.when(F.col("_manual").isNull(), "missing")
         .when(F.col("_manual") == F.col("label"), "match")
@@ -188,9 +220,9 @@ def verification_summary(verified: DataFrame) -> DataFrame:
 
 
 def annotator_overlap(a: DataFrame, b: DataFrame, key: str, value: str = "choice") -> DataFrame:
-    """Items both annotators labelled: (key, y1, y2)."""
-    return a.select(key, F.col(value).alias("y1")).join(
-        b.select(key, F.col(value).alias("y2")), key
+    """Items both annotators labelled, once each: (key, y1, y2)."""
+    return one_per_id(a.select(key, F.col(value).alias("y1")), key).join(
+        one_per_id(b.select(key, F.col(value).alias("y2")), key), key
     )
 
 

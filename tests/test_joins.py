@@ -131,3 +131,15 @@ def test_running_index(spark, n):
     df = frame(spark, [("train", "safe", f"p{i}") for i in range(n)], "split string, slug string, path string")
     got = sorted(r["video_id"] for r in projections.running_index_id(df, ("split", "slug"), ["path"]).collect())
     assert got == [f"train_safe_{i:06d}" for i in range(1, n + 1)]
+
+
+def test_repeated_ids_on_the_right_give_one_row(spark):
+    items = spark.createDataFrame([("a", 0), ("b", 1)], "video_id string, label int")
+    given = spark.createDataFrame([("a", 2, 1), ("a", 3, 5), ("a", 1, 4)], "video_id string, label int, at int")
+    updated = joins.update_labels(items, given, ordinal="at")
+    assert {r["video_id"]: (r["label"], r["changed"]) for r in updated.collect()} == {"a": (3, True), "b": (1, False)}
+    assert updated.count() == 2 and joins.update_labels(items, given).count() == 2
+    verified = {r["video_id"]: r["verified_label"] for r in joins.verify_labels(items, given, ordinal="at").collect()}
+    assert verified == {"a": 3, "b": 1}
+    twice = spark.createDataFrame([("a", 1), ("a", 1)], "video_id string, choice int")
+    assert joins.annotator_overlap(twice, twice, "video_id").count() == 1

@@ -109,3 +109,18 @@ def test_perceptron(spark):
     df = spark.createDataFrame([(i, [float(i % 2), 1.0], i % 2) for i in range(40)], "i int, f array<double>, label int")
     _, scores = models.train_classifier(df, "f", "label", F.col("i") < 30, layers=[2, 4, 2])
     assert scores == [("mlp", 1.0)]
+
+
+def test_weights_are_kept(spark, tmp_path):
+    weights = models.random_weights([4, 4, 4, 3], 8, 2, seed=3)
+    models.save_weights(spark, weights, str(tmp_path / "w"))
+    back = models.load_weights(spark, str(tmp_path / "w"), models.random_weights([4, 4, 4, 3], 8, 2, seed=9))
+    inputs = [np.ones((2, d)) for d in (4, 4, 4, 3)]
+    assert np.array_equal(models.fusion_logits(weights, inputs, 2), models.fusion_logits(back, inputs, 2))
+    with pytest.raises(ValueError):
+        models.load_weights(spark, str(tmp_path / "w"), models.random_weights([4, 4, 4, 3], 16, 2))
+
+
+def test_error_function():
+    x = np.linspace(-6, 6, 2001)
+    assert np.abs(models._erf(x) - [math.erf(v) for v in x]).max() < 1e-9
