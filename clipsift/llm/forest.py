@@ -21,15 +21,15 @@ from clipsift.session import durable
 NEIGHBOURS = 20
 TREES = 8
 SAMPLE = 65_536  # vectors the trees are grown on, at most
-LEAF = 1024  # sample vectors in a leaf, at most
-BREADTH = 0.15  # share of the sample that the leaves a query visits must hold, over all trees
+LEAVES = 64  # of a tree, about; more would make every query meet more of them
+BREADTH = 0.2  # share of the sample that the leaves a query visits must hold, over all trees
 BLOCK = 4096  # vectors of a leaf that meet their queries in one block
 
 
 class Forest:
     """Trees as flat arrays: a plane a node, children, and for leaves a number and a size."""
 
-    def __init__(self, sample: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: int = 7):
+    def __init__(self, sample: np.ndarray, trees: int, leaf: int, seed: int = 7):
         self.planes: list[np.ndarray] = []
         self.offsets: list[float] = []
         self.children: list[tuple[int, int]] = []
@@ -121,7 +121,7 @@ def usable(vectors: DataFrame, vec: str = "embedding") -> DataFrame:
 
 def neighbours(
     vectors: DataFrame, is_query, k: int = NEIGHBOURS, trees: int = TREES, breadth: float = BREADTH,
-    sample: int = SAMPLE, leaf: int = LEAF, block: int = BLOCK,
+    sample: int = SAMPLE, leaves: int = LEAVES, block: int = BLOCK,
 ) -> DataFrame:
     """The ``k`` nearest found for each query row: query_id, rank, vec_id, score.
 
@@ -145,8 +145,9 @@ def neighbours(
     longest = classes.agg(F.max(norm2)).first()[0]
     if longest is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    grown = classes.select("v").orderBy(F.xxhash64("low"), "low").limit(sample).toPandas()
-    chosen = np.array(grown["v"].tolist(), dtype=np.float64)
+    grown = classes.select("v").orderBy(F.xxhash64("low"), "low").limit(sample).toArrow()
+    chosen = _matrix(grown.column("v").combine_chunks())
+    leaf = max(16, -(-2 * len(chosen) // leaves) // 2)
     forest = spark.sparkContext.broadcast(Forest(_lifted(chosen, longest), trees, leaf))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

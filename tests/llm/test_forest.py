@@ -48,7 +48,7 @@ def test_whole_breadth_is_exact(spark, with_clashes):
     rows += [(i, same) for i in range(300, 400)] + [(400, None), (401, [0.0] * 8), (402, [None] * 8), (403, [float("nan")] * 8),
              (404, [1.0] * 3), (405, [float("inf")] * 8), (300, same), (None, same)]
     df = with_clashes(table(spark, rows))
-    found = by_query(forest.neighbours(df, F.col("vec_id") % 5 == 0, k=6, trees=3, leaf=32, breadth=1.0, block=16))
+    found = by_query(forest.neighbours(df, F.col("vec_id") % 5 == 0, k=6, trees=3, leaves=12, breadth=1.0, block=16))
     expected = exact([r for r in rows if r[0] not in (None, 404)], 6, 5)
     assert found.keys() == expected.keys()
     for q, own in expected.items():
