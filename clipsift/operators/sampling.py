@@ -16,7 +16,7 @@ PREFIX_DIGITS = 4
 
 def hash_order(key: str | Column, seed: int) -> Column:
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
@@ -30,7 +30,8 @@ def split(
     """Mark the first ``int(n * ratio)`` rows in hash order as train, the rest as val.
 
     The exact cut is found from the counts per hash prefix; only the one prefix that holds the
-    cut is ranked, so no task ever orders the whole table.
+    cut is ranked, so no task ever orders the whole table. Rows with the same key, also a null
+    one, stay on the same side.
     """
     work = df.withColumn("_h", hash_order(key, seed)).withColumn(
         "_p", F.substring("_h", 1, digits)
@@ -52,7 +53,7 @@ def split(
     )
     last = F.col("_last")
     in_train = (F.col("_h") < last["_h"]) | (
-        (F.col("_h") == last["_h"]) & (F.col(key) <= last["id"])
+        (F.col("_h") == last["_h"]) & F.coalesce(F.col(key) <= last["id"], F.lit(True))
     )
     return (
         work.withColumn("_last", edge.scalar())

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Folders that scratch_path has named in this process.
+_MADE: list[str] = []
+
 # Methods above 8000 bytecodes are not compiled by the JVM's JIT; wide projections such as the
 # feature vector run faster when Spark splits them instead of fusing them into one method.
 DEFAULTS = {
@@ -51,8 +54,19 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``clear_scratch`` removes what is there later."""
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables made so far; call it when no frame that reads them is left."""
+    place, conf, gone = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration(), 0
+    while _MADE:
+        path = place(_MADE.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:

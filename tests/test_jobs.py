@@ -2,6 +2,7 @@
 
 import json
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +26,14 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert f"{root}/numbers-" in df.inputFiles()[0] and df.count() == 3
 
 
+def test_scratch_can_be_cleared(spark):
+    df = session.durable(spark.range(3), "short")
+    folder = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    kept, session._MADE[:] = list(session._MADE[:-1]), session._MADE[-1:]  # only what this test made
+    assert os.path.isdir(folder) and session.clear_scratch(spark) == 1 and not os.path.exists(folder)
+    session._MADE[:] = kept
+
+
 def test_labeled_reader_ignores_extra_fields(spark, tmp_path):
     put(tmp_path / "v1" / "metadata.json", {"video_id": "v1", "label": "Safe", "original_path": "x"})
     got = readers.read_labeled_bronze(spark, f"{tmp_path}/*/*.json").first()
