@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -46,6 +47,21 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand tasks at most so many rows at once while a table of wide rows is written."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file on this machine (installed on every executor)."""
     import public_tokenizers
@@ -135,12 +151,12 @@ class BitMap:
     """Hashed keys as a bit map whose size does not grow with the keys.
 
     A full map lets every row through, so it saves shuffling and never decides a result.
-    ``column`` holds 64-bit hashes; their leading bits are the places in the map.
+    ``column`` holds 64-bit hashes; their last bits are the places in the map.
     """
 
     def __init__(self, keys: DataFrame, column: str, log2_bits: int):
-        self.shift = 64 - log2_bits
-        at = F.shiftrightunsigned(F.col(column), self.shift)
+        self.mask = (1 << log2_bits) - 1
+        at = F.col(column).bitwiseAND(self.mask)
         words = (
             keys.select(at.alias("at"))
             .select(
@@ -149,18 +165,18 @@ class BitMap:
             )
             .groupBy("w")
             .agg(F.bit_or("b").alias("b"))
-            .toPandas()  # 2**log2_bits / 64 rows at most
+            .toArrow()  # 2**log2_bits / 64 rows at most
         )
         bits = np.zeros(1 << (log2_bits - 6), dtype=np.int64)
-        bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+        bits[words["w"].to_numpy()] = words["b"].to_numpy()
         self.shared = keys.sparkSession.sparkContext.broadcast(bits)
 
     def __getstate__(self):
-        return {"shift": self.shift, "shared": self.shared}
+        return {"mask": self.mask, "shared": self.shared}
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         """For each 64-bit hash, whether its key may be in the map."""
-        at = (hashes.view(np.uint64) >> np.uint64(self.shift)).view(np.int64)
+        at = hashes & self.mask
         return (self.shared.value[at >> 6] >> (at & 63)) & 1 == 1
 
     def marked(self, column: str) -> Column:
