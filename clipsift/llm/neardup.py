@@ -181,6 +181,28 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, width)
 
 
+def _spokes(buckets: DataFrame, nodes: DataFrame, similar: float, miss: float) -> DataFrame:
+    """Pairs (a, b) of a bucket's smallest member and another that pass the first batch.
+
+    Unlike members go before pairs are made, so a bucket of texts that only share a passage does
+    not give each of them a pair for every band.
+    """
+    hub = nodes.select(
+        F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.expr(f"substring(sig, 1, {BATCH})").alias("hub_head")
+    )
+    met = buckets.filter("node <> hub").select("node", "n", "head", "hub").join(hub, "hub")
+    met = met.filter(f"100 * least(n, hub_n) >= {round(100 * similar)} * greatest(n, hub_n)")
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                heads = [_matrix(batch.column(c), BATCH) for c in ("head", "hub_head")]
+                yield batch.select(["a", "b"]).take(pa.array(likely(*heads, similar, miss)))
+
+    named = met.select(F.col("hub").alias("a"), F.col("node").alias("b"), "head", "hub_head")
+    return named.mapInArrow(prune, "a long, b long").distinct()
+
+
 def _prune(pairs: DataFrame, nodes: DataFrame, width: int, similar: float, miss: float) -> DataFrame:
     """Pairs (a, b) whose sizes and signatures allow the similarity."""
     side = nodes.select("node", "n", "sig")
@@ -200,7 +222,8 @@ def _blocks(members: DataFrame, width: int, similar: float, miss: float) -> Data
     """Likely pairs (a, b) of one bucket and different components.
 
     Members are dealt into blocks of about ``BLOCK``; every two blocks of a bucket meet once, so
-    no task ever holds a bucket. Sorted rows stream through, one pair of blocks at a time.
+    no task ever holds a bucket. Sorted rows stream through, one pair of blocks at a time. Two
+    members are compared in the first bucket that they share.
     """
     ratio = round(100 * similar)
 
@@ -210,6 +233,8 @@ def _blocks(members: DataFrame, width: int, similar: float, miss: float) -> Data
             return None
         node, comp, n, block = (table.column(c).to_numpy() for c in ("node", "comp", "n", "block"))
         sig = _matrix(table.column("sig").combine_chunks(), width)
+        band = table.column("band")[0].as_py()
+        keys = (table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(node), -1))
         across = len(np.unique(block)) > 1 or bool(table.column("i")[0].as_py() != table.column("j")[0].as_py())
         out_a, out_b = [], []
         for x in range(len(node) - 1):
@@ -218,6 +243,7 @@ def _blocks(members: DataFrame, width: int, similar: float, miss: float) -> Data
             if across:
                 y = y[block[y] != block[x]]
             y = y[100 * np.minimum(n[x], n[y]) >= ratio * np.maximum(n[x], n[y])]
+            y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]  # met in an earlier band already
             if len(y):
                 y = y[likely(np.broadcast_to(sig[x], (len(y), width)), sig[y], similar, miss)]
                 out_a.append(np.full(len(y), node[x]))
@@ -251,7 +277,7 @@ def _blocks(members: DataFrame, width: int, similar: float, miss: float) -> Data
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "node", "comp", "n", "block", "sig",
+        "node", "comp", "n", "block", "sig", "band", "keys",
     )
     ordered = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return ordered.mapInArrow(stream, "a long, b long").distinct()
@@ -264,10 +290,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, pct: int, shi
     texts = BitMap(wanted, "h", 23)
     source = docs.select(
         F.xxhash64(F.col("doc_id").cast("long")).alias("h"), text_of(docs).alias("text")
-    ).filter(texts.marked("h"))
+    )
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            whole = whole.filter(pa.array(texts.holds(whole.column("h").to_numpy())))
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 found = shingle_sets(*text_buffer(batch.column("text")), shingle)
@@ -330,23 +357,23 @@ def _grouped(docs: DataFrame, similar_pct: int, shingle: int, bands: int, rows:
     )
     nodes = durable(classes.withColumn("node", F.coalesce("low", F.xxhash64("n", "c1", "c2"))), "nodes")
 
-    entries = nodes.select("node", "n", F.explode("keys").alias("key"))
+    entries = nodes.select("node", "n", F.expr(f"substring(sig, 1, {BATCH})").alias("head"), F.posexplode("keys").alias("band", "key"))
     hubs = entries.groupBy("key").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("hub"))
     hubs = durable(hubs.filter("times > 1"), "hubs")
     shared = BitMap(hubs, "key", 24)
     buckets = durable(entries.filter(shared.marked("key")).join(hubs, "key"), "buckets")
-    spokes = buckets.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    spokes = durable(_spokes(buckets, nodes, similar, miss), "spokes")
     likely_pairs = durable(_prune(spokes, nodes, width, similar, miss), "likely")
     links = _verified(likely_pairs, slim, nodes, similar_pct, shingle)
     found = durable(components(links), "components")
 
     placed = buckets.filter("node <> hub").join(found, "node", "left").select(
-        "key", "node", "n", F.coalesce("root", "node").alias("comp")
+        "key", "band", "node", "n", F.coalesce("root", "node").alias("comp")
     )
     open_keys = placed.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.min("comp").alias("x"), F.max("comp").alias("y")
     ).filter("x <> y").select("key", "members")
-    members = placed.join(open_keys, "key").join(nodes.select("node", "sig"), "node")
+    members = placed.join(open_keys, "key").join(nodes.select("node", "sig", "keys"), "node")
     rest = durable(_blocks(members, width, similar, miss), "rest")
     more = _verified(rest, slim, nodes, similar_pct, shingle)
     if more.limit(1).count():
