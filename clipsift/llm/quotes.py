@@ -71,17 +71,19 @@ def _threads(parents: DataFrame) -> DataFrame:
     Every round doubles the way that has been followed; parents come before their replies in the
     order of (conversation, turn), so there are no circles.
     """
-    steps = durable(parents.select(*_ID, F.col("pc").alias("rc"), F.col("pt").alias("rt"), F.col("pk").alias("rk"), F.lit(1).cast("long").alias("depth")), "steps")
+    steps = durable(parents.select(*_ID, F.col("pc").alias("rc"), F.col("pt").alias("rt"), F.col("pk").alias("rk"), F.lit(1).cast("long").alias("depth"), F.lit(True).alias("moved")), "steps")
     while True:
         on = steps.select(
             F.col("c").alias("rc"), F.col("t").alias("rt"), F.col("k").alias("rk"),
             F.col("rc").alias("nc"), F.col("rt").alias("nt"), F.col("rk").alias("nk"), F.col("depth").alias("more"),
         )
-        joined = steps.join(on, ["rc", "rt", "rk"], "left")
-        steps = durable(joined.select(
+        # A row that has reached a first message is done and joins no more.
+        joined = steps.filter("moved").join(on, ["rc", "rt", "rk"], "left")
+        moved = joined.select(
             *_ID, F.coalesce("nc", "rc").alias("rc"), F.coalesce("nt", "rt").alias("rt"), F.coalesce("nk", "rk").alias("rk"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("more").isNotNull().alias("moved"),
-        ), "steps")
+        )
+        steps = durable(steps.filter("NOT moved").unionByName(moved.select(*steps.columns)), "steps")
         if not steps.filter("moved").limit(1).count():
             return steps.drop("moved")
 
