@@ -1,9 +1,10 @@
 """Secret scan: candidate strings by pattern, false positives removed by a random forest.
 
-Only DataFrame functions on the scan. Texts without a candidate never leave their row; candidates
-of the others become rows of numbers (length, character transitions, dictionary coverage, path
-marks, neighbouring words), are judged by a forest trained on labelled findings, and the values
-found guilty are replaced in their texts.
+Only DataFrame functions on the scan. Candidates are long runs of key characters, keys of known
+families also behind a path, and whatever is assigned to a guilty word. Texts without a candidate
+never leave their row; candidates of the others become rows of numbers (length, character
+transitions, dictionary coverage, path marks, neighbouring words), are judged by a forest trained
+on labelled findings, and the values found guilty are replaced in their texts.
 """
 
 from __future__ import annotations
@@ -23,12 +24,31 @@ MARK = "[SECRET]"
 THRESHOLD = 0.5
 FINDINGS = 6000  # made findings that the default forest learns from
 
-# A run of 16 or more key characters with a digit in it, and up to two padding marks.
-CANDIDATE = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]*+[0-9])[A-Za-z0-9_+/.-]{16,}+={0,2}+"
+PLAIN = 8  # an assigned value from this length on is also replaced where it stands alone
+
+# A run of 16 or more key characters and up to two padding marks; a key of a known family starts a
+# run of its own, also behind a path.
+FAMILY = r"(?:AKIA|ASIA|ghp_|gho_|ghs_|glpat-|sk-|sk_live_|pk_live_|rk_live_|xox[abprs]-|AIza|eyJ|SG\.|npm_|hf_)"
+FAMILIES = f"^{FAMILY}"
+_KEYS = "[A-Za-z0-9_+/.-]"
+_START = f"(?<![A-Za-z0-9]){FAMILY}(?={_KEYS}{{12}})"
+_TOKEN = f"(?<![A-Za-z0-9])eyJ(?:(?!(?!eyJ){_START}){_KEYS}){{12,}}+"  # its parts begin alike
+CANDIDATE = (
+    f"(?:{_TOKEN}|{_START}(?:(?!{_START}){_KEYS}){{12,}}+"
+    f"|(?<!{_KEYS})(?=[_+/.-]*+[A-Za-z0-9])(?:(?!{_START}){_KEYS}){{16,}}+)={{0,2}}+"
+)
 SPACE = r"[\x20\x09-\x0D]+"
 
 # Fixed word lists of the features.
 GUILTY = r"(?i)pass(word|wd|phrase)?|secret|token|api[_-]?key|access[_-]?key|auth|credential|private|bearer|login"
+# Whatever is assigned to a word with a guilty one in it: in quotes, or up to a space, a closing
+# quote, a tag or the next assignment.
+_HEAD = f"{GUILTY[:4]}(?:{GUILTY[4:]})" + r"[A-Za-z0-9_-]*+[\"'`\])]*+[\x20\x09-\x0D]*+[=:]{1,3}+(?!//)>?[\x20\x09-\x0D]*+"
+_NEXT = r"[&;,][\"']?[A-Za-z0-9_.-]{1,40}[\"']?[=:]|[\"'`](?:[\x20\x09-\x0D,;:)\]}>]|$)|</"
+ASSIGNED = _HEAD + (
+    r"(?:\"(?:[^\"\\\n]|\\.)++\"|'(?:[^'\\\n]|\\.)++'|`[^`\n]++`"
+    r"|[\"'`]?(?:(?!" + _NEXT + r")[^\x20\x09-\x0D])++)"
+)
 INNOCENT = (
     r"(?i)commit|sha[-_]?(1|256)?|md5|hash|checksum|digest|revision|version|build|uuid|guid|isbn|order|invoice"
     r"|tracking|card|phone|page|chapter|see|file|image|branch|example|placeholder|dummy"
@@ -43,12 +63,19 @@ DICTIONARY = (
     " table task team template test text theme time title token tool type update upload user value version video"
     " view web window world www year"
 )
-FAMILIES = r"^(AKIA|ASIA|ghp_|gho_|ghs_|glpat-|sk-|sk_live_|pk_live_|rk_live_|xox[abprs]-|AIza|eyJ|SG\.|npm_|hf_)"
+SYLLABLES = (
+    "an en er ti on re in de la ver gen ment keit tion ing ou ai eau ba co di fo gu ha je ki lo mu ne po qui ra si ta va"
+    " we ya zo schl ich cht th st"
+)
+COMMON = r"(?i)(?=th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt|ng|se|ha|ou|le|de|ch|io|ei|ie|ve|me|co|la|ne|ge|un|be)"
+PLACEHOLDER = r"(?i)^(<.*|\[.*|\$.*|\{.*|%.*|\*+|x+|\.+|-+|_+|null|none|nil|true|false|undefined|secret|your[_-].*)$"
+REFERENCE = r"^[A-Za-z_$][A-Za-z0-9_]*+(\(|\[|::|->|\.[A-Za-z_])"
 
 FEATURES = (
     "length", "digits", "uppers", "lowers", "marks", "turns", "case_turns", "vowels", "variety", "coverage", "slashes",
     "dots", "hyphens", "hexes", "plain_number", "uuid", "dated", "ending", "linked", "family", "guilty_word",
     "guilty_near", "innocent_near", "assigned", "quoted",
+    "equals", "spaces", "pairs", "consonants", "plain_word", "placeholder", "reference",
 )
 
 
@@ -93,6 +120,14 @@ def features(found: DataFrame) -> DataFrame:
         "innocent_near": flag(F.rlike(near, F.lit(INNOCENT)) | F.rlike(after, F.lit(INNOCENT))),
         "assigned": flag(F.rlike(F.concat_ws(" ", before, word), F.lit("[=:]"))),
         "quoted": flag(F.rlike(word, F.lit("[\"'`]"))),
+        "equals": flag(F.rlike(F.concat_ws(" ", before, word), F.lit("="))),
+        "spaces": F.regexp_count(v, F.lit(SPACE)).cast("double"),
+        "pairs": _share(v, COMMON),
+        "consonants": F.coalesce(F.array_max(F.transform(
+            F.regexp_extract_all(v, F.lit("(?i)[b-df-hj-np-tv-xz]+"), F.lit(0)), F.length)), F.lit(0)).cast("double"),
+        "plain_word": flag(F.rlike(v, F.lit(r"^(\p{L}\p{Ll}*|\p{Lu}+)[.!?…]*$"))),
+        "placeholder": flag(F.rlike(v, F.lit(PLACEHOLDER))),
+        "reference": flag(F.rlike(v, F.lit(REFERENCE))),
     }
     return found.withColumns(made)
 
@@ -127,6 +162,20 @@ def made_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     digits = F.regexp_replace(F.conv(F.substring(h, 1, 15), 16, 10), "^0+", "1")
     upper = F.upper(F.regexp_replace(b64, "[+/a-z]", ""))
     camel = F.concat(name("c1"), F.initcap(name("c2")), F.initcap(name("c3")), number(1, 99, "c4").cast("string"))
+    syllables = F.array(*[F.lit(x) for x in SYLLABLES.split()])
+
+    def spoken(salt: str, least: int, most: int) -> Column:
+        """A made word of so many syllables, now and then with a capital."""
+        every = [syllables[F.pmod(F.xxhash64("id", F.lit(f"{salt}{i}")), F.size(syllables)).cast("int")] for i in range(most)]
+        word = F.array_join(F.slice(F.array(*every), F.lit(1), number(least, most, f"{salt}n")), "")
+        turn = number(0, 9, f"{salt}t")
+        return F.when(turn < 6, word).when(turn < 9, F.initcap(word)).otherwise(F.upper(word))
+
+    letters = F.regexp_replace(b64, "[^A-Za-z]", "")
+    uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
+    sign = pick(["!", "@", "#", "$", "%", "!!", "*", "&", "^"], "sign")
+    join = pick(["-", "_", "."], "join")
+    long_word = F.concat(spoken("l", 7, 10), F.lit("en"))
     path = F.concat_ws("/", name("p1"), name("p2"), number(1990, 2030, "p3").cast("string"), name("p4"))
     # (value, word key or before, near word, label)
     kinds = [
@@ -138,8 +187,8 @@ def made_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (head(F.regexp_replace(b64, "[+/]", "9"), number(24, 48, "n5")), key, True, 1),
         (head(h, number(32, 64, "n6")), told, True, 0),
         (head(h, number(16, 40, "n6b")), plain, False, 0),
-        (F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12)), plain, False, 0),
-        (F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12)), key, True, 0),
+        (uuid, plain, False, 0),
+        (uuid, key, True, 1),
         (F.rpad(digits, 16, "7"), plain, False, 0),
         (F.rpad(digits, 16, "3"), pick(["card", "order", "phone", "invoice", "isbn"], "num"), True, 0),
         (F.concat(F.rpad(camel, 12, "x"), F.lit("Test42")), plain, False, 0),
@@ -149,24 +198,64 @@ def made_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (F.concat(number(1990, 2030, "y").cast("string"), F.lit("-0"), number(1, 9, "m").cast("string"), F.lit("-1"), number(0, 9, "d").cast("string"), F.lit("T10.20.30")), plain, False, 0),
         (F.concat(F.lit("your_"), name("x1"), F.lit("_here_"), number(100, 999, "x2").cast("string")), key, True, 0),
         (F.concat(name("r1"), F.lit("-"), number(1, 20, "r2").cast("string"), F.lit("."), number(0, 99, "r3").cast("string"), F.lit("."), number(0, 99, "r4").cast("string"), F.lit("-release")), plain, False, 0),
+        (head(letters, number(16, 40, "n9")), key, True, 1),
+        (head(F.lower(letters), number(16, 40, "n10")), key, True, 1),
+        (F.concat(pick(["AKIA", "ASIA"], "aws"), head(F.upper(letters), F.lit(16))), plain, False, 1),
+        (F.concat(pick(["ghp_", "glpat-", "sk-", "sk_live_", "xoxp-", "hf_", "npm_"], "fam2"), head(letters, number(16, 40, "n11"))), plain, False, 1),
+        (long_word, plain, False, 0),
+        (long_word, key, True, 0),
+        (F.concat(name("j1"), join, spoken("j", 2, 4), join, name("j2"), join, name("j3")), pick(["the", "token", "login", "in"], "j4"), True, 0),
+        (F.concat_ws("/", name("k1"), spoken("k", 2, 4), name("k2"), spoken("kk", 2, 4)), plain, False, 0),
+        (F.concat(name("m1"), F.initcap(name("m2")), F.initcap(name("m3")), F.initcap(name("m4"))), pick(["the", "token", "class", "in"], "m5"), True, 0),
+        (F.concat(F.lit("www."), spoken("o", 2, 4), pick([".com", ".org", ".net/index", ".de/login"], "o2")), plain, False, 0),
+        (F.concat(pick(["sk-", "npm_", "hf_"], "fam3"), name("q1"), pick(["-", "_"], "q2"), spoken("q", 3, 5), F.lit("_"), name("q3")), plain, False, 0),
+    ]
+    # (value, label) of what is assigned to a key and is no candidate by its length and characters
+    given = [
+        (F.concat(head(b64, number(4, 9, "g1")), sign, number(1, 99, "g2").cast("string")), 1),
+        (F.concat(head(b64, number(8, 30, "g3")), sign, head(h, number(2, 20, "g4"))), 1),
+        (F.concat(spoken("g5", 2, 3), number(1, 2030, "g6").cast("string"), sign), 1),
+        (F.concat(name("g7"), sign, number(1, 2030, "g8").cast("string")), 1),
+        (F.concat(spoken("g9", 2, 4), number(1, 9999, "g10").cast("string")), 1),
+        (head(h, number(6, 15, "g11")), 1),
+        (head(letters, number(6, 15, "g12")), 1),
+        (head(F.lower(letters), number(8, 15, "g13")), 1),
+        (F.concat_ws(" ", name("g14"), spoken("g15", 1, 3), name("g16"), spoken("g17", 1, 3)), 1),
+        (spoken("g18", 1, 4), 0),
+        (name("g19"), 0),
+        (plain, 0),
+        (number(0, 4096, "g20").cast("string"), 0),
+        (pick(["<password>", "[hidden]", "***", "*****", "xxxx", "${SECRET}", "$TOKEN", "{{token}}", "%s", "null", "None", "true", "false", "...", "your_password", "[SECRET]"], "g21"), 0),
+        (F.concat(name("g22"), pick(["_", "."], "g23"), name("g24"), pick(["()", "(self)", '["x"]', ".get"], "g25")), 0),
+        (F.concat_ws(".", pick(["self", "os", "request", "config", "settings"], "g26"), spoken("g27", 1, 3), name("g28")), 0),
+        (F.concat_ws(" ", *[spoken(f"g3{i}", 1, 4) for i in range(9)]), 0),
     ]
-    rows = spark.range(n).withColumn("kind", F.col("id") % len(kinds))
+    rows = spark.range(n).withColumn("kind", F.col("id") % (len(kinds) + len(given)))
+    assigned = F.col("kind") >= len(kinds)
+    kinds += [(value, key, True, label) for value, label in given]
 
     def by_kind(column: int) -> Column:
         values = [k[column] if isinstance(k[column], Column) else F.lit(k[column]) for k in kinds]
         return reduce(lambda rest, i: F.when(F.col("kind") == i, values[i]).otherwise(rest), range(len(kinds)), F.lit(None))
 
-    rows = rows.select("id", by_kind(0).alias("value"), by_kind(1).alias("near"), by_kind(2).alias("named"), by_kind(3).alias("label"), sep.alias("sep"), quote.alias("quote"), plain.alias("plain"))
+    mixed = pick(["=", ":", " = ", ": ", "=", ": "], "mixed")
+    around = F.when(F.col("value").contains(" "), pick(['"', "'"], "around")).otherwise(F.col("quote"))
+
+    rows = rows.select("id", by_kind(0).alias("value"), by_kind(1).alias("near"), by_kind(2).alias("named"), by_kind(3).alias("label"), sep.alias("sep"), quote.alias("quote"), plain.alias("plain"), assigned.alias("given"))
     tight = F.col("named") & F.col("sep").isin("=", ":")
     spelled = F.concat("quote", "value", "quote")
     mark = F.trim("sep")
+    none = F.lit(None).cast("string")
     return rows.select(
         "value",
-        F.when(tight, F.concat("near", "sep", spelled)).otherwise(spelled).alias("word"),
-        F.when(tight, F.col("plain")).when(F.col("named") & (mark != "") & F.col("sep").startswith(" "), mark)
+        F.when(F.col("given"), F.concat("near", mixed, around, "value", around))
+        .when(tight, F.concat("near", "sep", spelled)).otherwise(spelled).alias("word"),
+        F.when(F.col("given"), none)
+        .when(tight, F.col("plain")).when(F.col("named") & (mark != "") & F.col("sep").startswith(" "), mark)
         .when(F.col("named"), F.concat("near", mark)).otherwise(F.col("plain")).alias("before"),
-        F.when(F.col("named") & ~tight & F.col("sep").startswith(" ") & (mark != ""), F.col("near")).otherwise(F.col("plain")).alias("earlier"),
-        pick(["the", "is", "and", "en", "für", "in", "of"], "after").alias("after"),
+        F.when(F.col("given"), none)
+        .when(F.col("named") & ~tight & F.col("sep").startswith(" ") & (mark != ""), F.col("near")).otherwise(F.col("plain")).alias("earlier"),
+        F.when(F.col("given"), none).otherwise(pick(["the", "is", "and", "en", "für", "in", "of"], "after")).alias("after"),
         F.col("label").cast("double").alias("label"),
     )
 
@@ -182,20 +271,57 @@ def train(findings: DataFrame, trees: int = 30, depth: int = 9, seed: int = 17)
     return Pipeline(stages=[assembler, forest]).fit(rows)
 
 
+def assigned_value(whole: Column) -> Column:
+    """The value in a match of ASSIGNED, without quotes and closing marks."""
+    rest = F.regexp_replace(whole, "^" + _HEAD, "")
+    bare = F.regexp_replace(F.regexp_replace(rest, "^[\"'`]", ""), "[\"'`.,;]+$", "")
+    unopened = ~F.rlike(bare, F.lit(r"[\[({<]"))
+    bare = F.when(unopened, F.regexp_replace(bare, r"[\])}>]+[\"'`.,;]*$", "")).otherwise(bare)
+    return F.when(F.rlike(rest, F.lit("(?s)^([\"'`]).+\\1$")), F.substring(rest, 2, F.length(rest) - 2)).otherwise(bare)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (d, k, t) with a candidate, and these as an array ``found``."""
-    words = docs.filter(F.rlike("t", F.lit(CANDIDATE))).withColumn("w", F.split("t", SPACE))
-    found = F.filter(
+    """Rows of ``docs`` (d, k, t) with a candidate, and these as an array ``found``.
+
+    ``whole`` is the assignment of a value that no run of key characters equals, else null.
+    """
+    words = docs.filter(_suspicious()).withColumn("w", F.split("t", SPACE))
+    none = F.lit(None).cast("string")
+    runs = F.filter(
         F.transform("w", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda x: F.rlike(x["word"], F.lit(CANDIDATE))
     )
-    found = F.flatten(F.transform(found, lambda x: F.transform(
+    runs = F.flatten(F.transform(runs, lambda x: F.transform(
         F.regexp_extract_all(x["word"], F.lit(CANDIDATE), F.lit(0)),
         lambda v, j: F.struct(
             x["at"].alias("at"), j.alias("part"), v.alias("value"), x["word"].alias("word"),
             F.get("w", x["at"] - 1).alias("before"), F.get("w", x["at"] - 2).alias("earlier"), F.get("w", x["at"] + 1).alias("after"),
+            none.alias("whole"),
         ),
     )))
-    return words.withColumn("found", found).drop("w")
+    given = F.transform(
+        F.regexp_extract_all("t", F.lit(ASSIGNED), F.lit(0)),
+        lambda m, j: F.struct(
+            F.lit(-1).alias("at"), j.alias("part"), assigned_value(m).alias("value"), m.alias("word"),
+            none.alias("before"), none.alias("earlier"), none.alias("after"), m.alias("whole"),
+        ),
+    )
+    rows = words.withColumns({"runs": runs, "given": given})
+    rows = rows.withColumn("known", F.transform("runs", lambda r: r["value"]))
+    others = F.filter("given", lambda x: (x["value"] != "") & ~F.array_contains(F.col("known"), x["value"]))
+    return rows.withColumn("found", F.concat("runs", others)).drop("w", "runs", "given", "known")
+
+
+def _suspicious() -> Column:
+    return F.rlike("t", F.lit(CANDIDATE)) | F.rlike("t", F.lit(ASSIGNED))
+
+
+def _replacements(mark: str) -> Column:
+    """(old, new) of a guilty value: short ones are replaced only where they are assigned."""
+    head = F.regexp_extract("whole", "^" + _HEAD, 0)
+    rest = F.substring(F.col("whole"), F.length(head) + 1, F.length("whole"))
+    alone = F.struct(F.col("value").alias("old"), F.lit(mark).alias("new"))
+    there = F.struct(F.col("whole").alias("old"), F.concat(head, F.replace(rest, F.col("value"), F.lit(mark))).alias("new"))
+    return F.when(F.col("whole").isNull(), F.array(alone)).when(F.length("value") >= PLAIN, F.array(there, alone)).otherwise(F.array(there))
 
 
 def redact(docs: DataFrame, model: PipelineModel, threshold: float = THRESHOLD, mark: str = MARK) -> DataFrame:
@@ -212,21 +338,21 @@ def redact(docs: DataFrame, model: PipelineModel, threshold: float = THRESHOLD,
     single = having.select("d", "k", F.explode("found").alias("f")).select("d", "k", "f.*")
     judged = model.transform(features(single)).withColumn("p", vector_to_array("_p")[1])
     guilty = judged.filter(F.col("p") >= threshold).groupBy("d", "k").agg(
-        F.collect_set("value").alias("values"), F.countDistinct("at", "part").alias("n")
+        F.collect_set("value").alias("values"), F.countDistinct("at", "part").alias("n"),
+        F.array_distinct(F.flatten(F.collect_set(_replacements(mark)))).alias("swaps"),
     )
     joined = having.join(guilty, ["d", "k"], "left")
-    # Longer values first, so that none is left as the tail of a shorter one.
-    longest = F.array_sort(
-        F.col("values"), lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)
-    )
+    # Longer ones first, so that none is left as the tail of a shorter one.
+    longest = F.array_sort(F.col("swaps"), lambda a, b: F.when(F.length(a["old"]) != F.length(b["old"]), F.length(b["old"]) - F.length(a["old"]))
+                           .when(a["old"] < b["old"], -1).when(a["old"] > b["old"], 1).otherwise(0))
     untouched = F.col("n").isNull()
-    text = F.aggregate(longest, F.col("t"), lambda acc, v: F.replace(acc, v, F.lit(mark)))
+    text = F.aggregate(longest, F.col("t"), lambda acc, v: F.replace(acc, v["old"], v["new"]))
     changed = joined.withColumn("text", F.when(untouched, F.col("row.text")).otherwise(text)).select(
         *[F.col("text") if c == "text" else _follows(docs, untouched) if c == "n_chars" else F.col(f"row.{c}") for c in columns],
         F.size("found").cast("long").alias("_candidates"), F.coalesce("n", F.lit(0)).cast("long").alias("_secrets"),
         F.coalesce("values", F.array().cast("array<string>")).alias("_values"),
     )
-    clean = base.filter(~F.rlike("t", F.lit(CANDIDATE))).select(
+    clean = base.filter(~_suspicious()).select(
         "row.*", F.lit(0).cast("long").alias("_candidates"), F.lit(0).cast("long").alias("_secrets"),
         F.array().cast("array<string>").alias("_values"),
     )
