@@ -107,8 +107,9 @@ def metadata_features(
     """Posts -> silver metadata features: scaled and raw numerics, three text vectors.
 
     ``posts`` holds the five counts, date, description, tags and comment_texts. The 25 numbers are
-    written once, since the scaler reads them before the output does; the texts are encoded only
-    for the output.
+    written once with the texts beside them, since the scaler reads them before the output does;
+    the texts are encoded only for the output. Rows stay as they are, also those without a key or
+    with a repeated one.
     """
     names = joins.NUMERIC_FEATURES
     texts = {
@@ -116,14 +117,14 @@ def metadata_features(
         "tags": normalize_text(tag_text(F.col("tags"))),
         "comments": join_comments(F.col("comment_texts")),
     }
-    raw = durable(numeric_vector(posts, **vector_options).select(key, *names), "numeric")
+    carried = [text.alias(f"_{name}") for name, text in texts.items()]
+    raw = durable(numeric_vector(posts, **vector_options).select(key, *names, *carried), "numeric")
     both = raw.withColumn("numeric_raw", F.array(*[F.col(n) for n in names]))
-    scaled = fit_scaler(raw, names, sample_n, key if sample_n else None).transform(both)
-    scaled = scaled.select(key, F.array(*[F.col(n) for n in names]).alias("numeric_scaled"), "numeric_raw")
-    rows = posts.select(key, *[text.alias(f"_{name}") for name, text in texts.items()])
+    rows = fit_scaler(raw, names, sample_n, key if sample_n else None).transform(both)
+    rows = rows.withColumn("numeric_scaled", F.array(*[F.col(n) for n in names]))
     for name in texts:
         rows = encode_text(rows, f"_{name}", dim, f"{name}_emb", encoder)
-    return scaled.join(rows.select(key, *[f"{name}_emb" for name in texts]), key)
+    return rows.select(key, "numeric_scaled", "numeric_raw", *[f"{name}_emb" for name in texts])
 
 
 def full_features(

@@ -122,6 +122,17 @@ def test_metadata_features(spark):
     assert got["b"]["desc_emb"] == [0.0] * 8 == got["b"]["comments_emb"] and any(got["a"]["tags_emb"])
 
 
+def test_metadata_features_keeps_every_row(spark):
+    """Posts without a key stay, and a repeated key pairs each post's numbers with its own texts."""
+    rows = [(key, str(10 ** i), 1, "1", "1", "9", None, ["x"], text, None)
+            for i, (key, text) in enumerate([(None, "one"), (None, ""), ("a", "one"), ("a", ""), ("a", "one"), ("b", "")])]
+    posts = spark.createDataFrame(rows, POST + ", description string, tags array<string>")
+    column = NUMERIC_FEATURES.index("likes_log")
+    got = jobs.metadata_features(posts, 8).collect()
+    found = sorted((round(math.expm1(r["numeric_raw"][column])), r["video_id"], any(r["desc_emb"])) for r in got)
+    assert found == [(10 ** i, r[0], r[8] == "one") for i, r in enumerate(rows)]
+
+
 SILVER = "video_id string, video_emb array<float>, audio_emb array<float>, numeric_scaled array<float>, comments_emb array<float>"
 
 
