@@ -51,6 +51,28 @@ def test_common_line(spark):
     assert all(out[c, 1].parent_conv == c and out[c, 1].parent_turn == 0 for c in range(200))
 
 
+def test_nearest_copy(spark):
+    """A text that was said before: the nearest earlier copy is quoted, in the own conversation or else before it."""
+    rows = [(1, 0, "u", "Start"), (1, 1, "u", "continue"), (1, 2, "a", "One"), (1, 3, "a", "Thanks\n> One"), (1, 4, "a", "Two"),
+            (1, 5, "u", "continue"), (1, 6, "a", "Three\n> continue"), (1, 7, "u", "continue"), (1, 8, "u", "continue\n> continue"),
+            (2, 0, "x", "> continue"), (3, 0, "x", "Thanks"), (3, 1, "x", "one line\nThanks"), (3, 2, "x", "> Thanks"), (4, 0, "x", "Nothing")]
+    out = threads(spark.createDataFrame(rows, SCHEMA))
+    parent = {k: (r.parent_conv, r.parent_turn) for k, r in out.items() if r.parent_conv is not None}
+    assert parent == {(1, 3): (1, 2), (1, 6): (1, 5), (1, 8): (1, 7), (2, 0): (1, 8), (3, 2): (3, 0)}
+    assert (out[1, 6].root_turn, out[1, 6].depth) == (5, 1)
+
+
+def test_whole_passages(spark):
+    """Wrapped quotes are found, and a passage belongs to who wrote all of it, not to first writers of its lines."""
+    text = "The first line of it is long\nThanks\nRegards\n\nA second paragraph, which nobody else wrote"
+    rows = [(1, 0, "a", "Thanks"), (1, 1, "b", "Regards"), (1, 2, "c", "The first line of it is long"), (2, 0, "d", text),
+            (3, 0, "e", "Yes\n> The first line of\n> it is long Thanks\n> Regards\n>\n> A second paragraph, which\n> nobody else wrote"),
+            (3, 1, "f", "> A second paragraph,\n> which nobody else wrote\nNo"), (3, 2, "g", "> The first line of it is long\n> Thanks\n> Regards"),
+            (3, 3, "h", "> Regards\n\nNo, see below\n> A second paragraph, which nobody\n> else wrote")]
+    out = threads(spark.createDataFrame(rows, SCHEMA))
+    assert [(out[3, i].parent_conv, out[3, i].parent_turn) for i in range(4)] == [(2, 0)] * 4
+
+
 def test_odd_rows(spark):
     rows = [(1, 0, "u", None), (1, 1, None, ""), (None, 0, "u", "> a"), (1, None, "u", "a"), (3, 0, "u", "x" * 300_000), (3, 1, "u", "> " + "x" * 300_000),
             (4, 0, "u", "same"), (4, 0, "u", "same"), (4, 1, "u", "> same")]
