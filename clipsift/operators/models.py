@@ -17,6 +17,7 @@ from clipsift.functions.counts import strip
 from clipsift.functions.vectors import softmax
 from clipsift.operators.metrics import macro_f1
 from clipsift.session import durable
+from clipsift.sources.modelstore import plain_model
 
 Encoder = Callable[[list[str]], np.ndarray]
 
@@ -253,7 +254,7 @@ def train_classifier(
         candidates = [(f"lr{r:g}", LogisticRegression(regParam=float(r))) for r in grid]
     best, scores = None, []
     for name, estimator in candidates:
-        model = estimator.fit(fit_on)
+        model = plain_model(estimator.fit(fit_on), df.sparkSession)
         found = model.transform(check_on).select("label", F.col("prediction").alias("pred"))
         score = macro_f1(found).first()["macro_f1"] or 0.0
         scores.append((name, score))
