@@ -19,10 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipsift.llm.common import text_of
+from clipsift.session import durable
+from clipsift.sources.modelstore import plain_model
 
 MARK = "[SECRET]"
 THRESHOLD = 0.5
 FINDINGS = 6000  # made findings that the default forest learns from
+KINDS_AT_ONCE = 8  # kinds of made findings that one plan spells
 
 PLAIN = 8  # an assigned value from this length on is also replaced where it stands alone
 
@@ -37,6 +40,7 @@ CANDIDATE = (
     f"(?:{_TOKEN}|{_START}(?:(?!{_START}){_KEYS}){{12,}}+"
     f"|(?<!{_KEYS})(?=[_+/.-]*+[A-Za-z0-9])(?:(?!{_START}){_KEYS}){{16,}}+)={{0,2}}+"
 )
+LEAST_RUN = 15  # key characters in a row that a candidate has at least
 SPACE = r"[\x20\x09-\x0D]+"
 
 # Fixed word lists of the features.
@@ -230,18 +234,29 @@ def made_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (F.concat_ws(".", pick(["self", "os", "request", "config", "settings"], "g26"), spoken("g27", 1, 3), name("g28")), 0),
         (F.concat_ws(" ", *[spoken(f"g3{i}", 1, 4) for i in range(9)]), 0),
     ]
-    rows = spark.range(n).withColumn("kind", F.col("id") % (len(kinds) + len(given)))
     assigned = F.col("kind") >= len(kinds)
     kinds += [(value, key, True, label) for value, label in given]
+    around = F.when(F.col("value").contains(" "), pick(['"', "'"], "around")).otherwise(F.col("quote"))
+    mixed = pick(["=", ":", " = ", ": ", "=", ": "], "mixed")
 
-    def by_kind(column: int) -> Column:
-        values = [k[column] if isinstance(k[column], Column) else F.lit(k[column]) for k in kinds]
-        return reduce(lambda rest, i: F.when(F.col("kind") == i, values[i]).otherwise(rest), range(len(kinds)), F.lit(None))
+    def spelled_out(first: int) -> DataFrame:
+        """Findings of a few kinds, written at once: one plan over all of them is too large for a driver."""
+        own = list(enumerate(kinds))[first : first + KINDS_AT_ONCE]
 
-    mixed = pick(["=", ":", " = ", ": ", "=", ": "], "mixed")
-    around = F.when(F.col("value").contains(" "), pick(['"', "'"], "around")).otherwise(F.col("quote"))
+        def by_kind(column: int) -> Column:
+            values = [(i, k[column] if isinstance(k[column], Column) else F.lit(k[column])) for i, k in own]
+            return reduce(lambda rest, x: F.when(F.col("kind") == x[0], x[1]).otherwise(rest), values, F.lit(None))
+
+        rows = spark.range(0, n, 1, 2).withColumn("kind", F.col("id") % len(kinds)).filter(
+            F.col("kind").between(first, first + len(own) - 1)
+        )
+        return durable(rows.select(
+            "id", by_kind(0).alias("value"), by_kind(1).alias("near"), by_kind(2).cast("boolean").alias("named"),
+            by_kind(3).cast("int").alias("label"), assigned.alias("given"),
+        ), "findings")
 
-    rows = rows.select("id", by_kind(0).alias("value"), by_kind(1).alias("near"), by_kind(2).alias("named"), by_kind(3).alias("label"), sep.alias("sep"), quote.alias("quote"), plain.alias("plain"), assigned.alias("given"))
+    rows = reduce(DataFrame.unionByName, [spelled_out(i) for i in range(0, len(kinds), KINDS_AT_ONCE)])
+    rows = rows.withColumns({"sep": sep, "quote": quote, "plain": plain})
     tight = F.col("named") & F.col("sep").isin("=", ":")
     spelled = F.concat("quote", "value", "quote")
     mark = F.trim("sep")
@@ -267,8 +282,10 @@ def train(findings: DataFrame, trees: int = 30, depth: int = 9, seed: int = 17)
         featuresCol="_features", labelCol="label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_says",
         numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=2,
     )
-    rows = features(findings).select(*FEATURES, "label").coalesce(2)
-    return Pipeline(stages=[assembler, forest]).fit(rows)
+    spark = findings.sparkSession
+    given = durable(findings.select("value", "word", "before", "earlier", "after", "label"), "findings")
+    rows = durable(features(given).select(*FEATURES, "label").coalesce(2), "finding-features")
+    return plain_model(Pipeline(stages=[assembler, forest]).fit(rows), spark)
 
 
 def assigned_value(whole: Column) -> Column:
@@ -288,7 +305,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     words = docs.filter(_suspicious()).withColumn("w", F.split("t", SPACE))
     none = F.lit(None).cast("string")
     runs = F.filter(
-        F.transform("w", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda x: F.rlike(x["word"], F.lit(CANDIDATE))
+        F.transform("w", lambda w, i: F.struct(w.alias("word"), i.alias("at"))),
+        lambda x: (F.length(x["word"]) >= LEAST_RUN) & F.rlike(x["word"], F.lit(CANDIDATE)),
     )
     runs = F.flatten(F.transform(runs, lambda x: F.transform(
         F.regexp_extract_all(x["word"], F.lit(CANDIDATE), F.lit(0)),
@@ -312,7 +330,11 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def _suspicious() -> Column:
-    return F.rlike("t", F.lit(CANDIDATE)) | F.rlike("t", F.lit(ASSIGNED))
+    """Whether a text has a candidate; both patterns are tried only where a cheaper one lets them."""
+    long_run = F.rlike("t", F.lit(f"{_KEYS}{{{LEAST_RUN}}}"))
+    words = F.filter(F.split("t", SPACE), lambda w: F.length(w) >= LEAST_RUN)
+    marked = F.contains(F.col("t"), F.lit("=")) | F.contains(F.col("t"), F.lit(":"))
+    return (long_run & F.exists(words, lambda w: F.rlike(w, F.lit(CANDIDATE)))) | (marked & F.rlike("t", F.lit(ASSIGNED)))
 
 
 def _replacements(mark: str) -> Column:
