@@ -84,7 +84,10 @@ def q_read_keyed_metadata(spark, sf):
         F.array(F.struct(F.concat(F.lit("v"), "doc_id").alias("id"), good.alias("value")),
                 F.struct(F.concat(F.lit("x"), "doc_id").alias("id"), F.lit('{"doc_id": ').alias("value"))),
     ).otherwise(F.array(F.struct(F.concat(F.lit("v"), "doc_id").alias("id"), good.alias("value"))))
-    load(spark, sf, "documents").select(F.explode(both).alias("f")).select("f.*").write.partitionBy("id").text(root)
+    # Dealt by folder, so that all cores make folders.
+    load(spark, sf, "documents").select(F.explode(both).alias("f")).select("f.*").repartition("id").write.partitionBy(
+        "id"
+    ).text(root)
     rows = readers.read_keyed_metadata(
         spark, root, "doc_id long, lang string, n_chars long, text string", "folder",
         r"id=([^/]+)/[^/]+$", files="*.txt",
