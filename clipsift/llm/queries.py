@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsift.llm import forest, neardup, negatives, packing, pieces, quality, quotes, secrets, suffixes, toxicity, wavelet
+from clipsift.llm import forest, licenses, neardup, negatives, packing, pieces, quality, quotes, secrets, suffixes, toxicity, wavelet
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
 from clipsift.tables import load
@@ -146,6 +146,57 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(load(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, shifted)
 
 
+_L = licenses
+_TEMPLATE_ROWS = ", ".join(
+    "({}, '{}', '{}', '{}')".format(i, t.label, t.key, t.text.replace("'", "''")) for i, t in enumerate(_L.TEMPLATES)
+)
+
+
+def _words_sql(text: str) -> str:
+    low = f"translate({text}, '{_L.CAPITALS}', '{_L.CAPITALS.lower()}')"
+    return f"regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+LICENSES_SQL = f"""
+WITH d AS (SELECT doc_id, {_words_sql("coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT doc_id, unnest(w) AS w0, unnest(range(len(w))) AS pos, w FROM d),
+g AS (SELECT doc_id, pos, w0, w[pos + 2] AS w1, w[pos + 3] AS w2, CASE WHEN pos > 0 THEN w[pos] END AS b1,
+             CASE WHEN pos > 1 THEN w[pos - 1] END AS b2 FROM p),
+base AS (SELECT doc_id, CASE b1 WHEN 'public' THEN 'gpl' ELSE b1 END AS label,
+                CASE b1 WHEN 'public' THEN pos - 2 ELSE pos - 1 END AS start
+         FROM g WHERE w0 = 'license' AND (b1 IN ('mit', 'apache') OR (b1 = 'public' AND b2 = 'general'))),
+based AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+                 string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+t(template, label, key, text) AS (VALUES {_TEMPLATE_ROWS}),
+tw AS (SELECT template, label, {_words_sql("key")} AS kw, {_words_sql("text")} AS tw FROM t),
+tp AS (SELECT template, label, kw, tw, len(tw) AS t_len, unnest(range(len(tw))) AS t_at FROM tw),
+tk AS (SELECT template, label, t_len, min(t_at) AS k_at, len(any_value(kw)) AS k_len
+       FROM tp WHERE tw[t_at + 1 : t_at + len(kw)] = kw GROUP BY ALL),
+hit AS (SELECT DISTINCT doc_id, template, t_at, pos - t_at AS diagonal
+        FROM g JOIN tp ON w0 = tw[t_at + 1] AND w1 = tw[t_at + 2] AND w2 = tw[t_at + 3]),
+dg AS (SELECT DISTINCT doc_id, template, diagonal FROM hit),
+apart AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER o > {_L.GAP}, true) AS a FROM dg
+          WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+span AS (SELECT *, sum(a::INT) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM apart),
+word AS (SELECT DISTINCT doc_id, template, span, t_at + k AS c FROM hit JOIN span USING (doc_id, template, diagonal), range({_L.GRAM}) r(k)),
+cover AS (SELECT doc_id, template, span, count(*) AS n, count(*) FILTER (c >= k_at AND c < k_at + k_len) AS n_key
+          FROM word JOIN tk USING (template) GROUP BY ALL),
+judged AS (SELECT doc_id, label, n / t_len AS share, 100 * n >= {_L.COVER_PCT} * t_len AND n_key = k_len AS sound
+           FROM cover JOIN tk USING (template)),
+found AS (SELECT doc_id, max(share) AS share FROM judged GROUP BY doc_id),
+named AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT doc_id, label FROM judged WHERE sound UNION ALL SELECT doc_id, label FROM base) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       greatest(coalesce(share, 0e0), CASE WHEN n_base > 0 THEN {_L.BASE_SCORE} ELSE 0 END) AS score
+FROM d LEFT JOIN based USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+@query(LICENSES_SQL)
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir)).drop("spans")
+
+
 def llm_queries():
     """All queries of the subpackage, in order."""
     return dict(LLM_QUERIES)
