@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsift.llm import forest, licenses, neardup, negatives, packing, pieces, quality, quotes, secrets, suffixes, toxicity, wavelet
+from clipsift.llm import (
+    forest, licenses, neardup, negatives, packing, pieces, quality, quotes, secrets, suffixes, toxicity, trie, wavelet,
+)
 from clipsift.llm.common import documents, tokenizer_path
 from clipsift.llm.registry import LLM_QUERIES, query
 from clipsift.tables import load
@@ -197,6 +199,11 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir)).drop("spans")
 
 
+@query()
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(load(spark, sf_dir, "conversations"))
+
+
 def llm_queries():
     """All queries of the subpackage, in order."""
     return dict(LLM_QUERIES)
