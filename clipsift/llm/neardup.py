@@ -29,6 +29,7 @@ BANDS, ROWS = 40, 5  # a pair at 0.8 shares no band with probability 1.2e-7
 BATCH = 40  # signature entries compared at a time
 MISS = 1e-8
 BLOCK = 512  # members compared with each other in one block
+MAP_BITS = 2048  # of the bit map of a set's hashes
 _CHUNK = 1 << 18  # bytes of text handled at once, or one text
 
 
@@ -117,8 +118,25 @@ def _signatures(flat: np.ndarray, starts: np.ndarray, bands: int, rows: int) ->
     return keys.view(np.int64), small
 
 
+def _maps(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Bit map of each set: one bit for the first bits of each member."""
+    own = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(flat))))
+    bits = np.zeros((len(starts), MAP_BITS), dtype=bool)
+    bits[own, (flat >> np.uint64(64 - MAP_BITS.bit_length() + 1)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1)
+
+
+def may_reach(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, pct: int) -> np.ndarray:
+    """Which pairs of sets can reach the similarity: every bit of one alone is a member that the other lacks."""
+    a, b = (np.ascontiguousarray(x).view(np.uint64) for x in (a, b))
+    both = np.minimum(
+        n_a - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64), n_b - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64)
+    )
+    return 100 * both >= pct * (n_a + n_b - both)
+
+
 def signatures(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, k (tells its texts apart), n, c1, c2 (size and fingerprints of the shingle set), keys, sig."""
+    """doc_id, k (tells its texts apart), n, c1, c2 (size and fingerprints of the shingle set), keys, sig, map."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -129,23 +147,23 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows
                 some = np.flatnonzero(n)
                 c1, c2 = np.zeros(len(n), dtype=np.int64), np.zeros(len(n), dtype=np.int64)
                 keys = [None] * len(n)
-                sigs = [None] * len(n)
+                sigs, maps = [None] * len(n), [None] * len(n)
                 if len(some):
                     flat = np.concatenate([sets[i] for i in some])
                     starts = np.concatenate([[0], np.cumsum(n[some])[:-1]])
                     c1[some], c2[some] = _set_ids(flat, starts)
                     own, small = _signatures(flat, starts, bands, rows)
-                    for i, k, s in zip(some.tolist(), own, small):
-                        keys[i], sigs[i] = k, s.tobytes()
+                    for i, k, s, m in zip(some.tolist(), own, small, _maps(flat, starts)):
+                        keys[i], sigs[i], maps[i] = k, s.tobytes(), m.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("k"), pa.array(n), pa.array(c1), pa.array(c2),
-                     pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                    names=["doc_id", "k", "n", "c1", "c2", "keys", "sig"],
+                     pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(maps, pa.binary())],
+                    names=["doc_id", "k", "n", "c1", "c2", "keys", "sig", "map"],
                 )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     source = source.withColumn("k", F.xxhash64("doc_id", "text"))
-    return source.mapInArrow(sign, "doc_id long, k long, n long, c1 long, c2 long, keys array<long>, sig binary")
+    return source.mapInArrow(sign, "doc_id long, k long, n long, c1 long, c2 long, keys array<long>, sig binary, map binary")
 
 
 @lru_cache(maxsize=8)
@@ -203,55 +221,70 @@ def _spokes(buckets: DataFrame, nodes: DataFrame, similar: float, miss: float) -
     return named.mapInArrow(prune, "a long, b long").distinct()
 
 
-def _prune(pairs: DataFrame, nodes: DataFrame, width: int, similar: float, miss: float) -> DataFrame:
-    """Pairs (a, b) whose sizes and signatures allow the similarity."""
-    side = nodes.select("node", "n", "sig")
-    joined = pairs.join(side.toDF("a", "na", "siga"), "a").join(side.toDF("b", "nb", "sigb"), "b")
-    joined = joined.filter(f"100 * least(na, nb) >= {round(100 * similar)} * greatest(na, nb)")
+def _prune(pairs: DataFrame, nodes: DataFrame, width: int, pct: int, miss: float) -> DataFrame:
+    """Pairs (a, b) whose sizes, signatures and bit maps allow the similarity."""
+    side = nodes.select("node", "n", "sig", "map")
+    joined = pairs.join(side.toDF("a", "na", "siga", "mapa"), "a").join(side.toDF("b", "nb", "sigb", "mapb"), "b")
+    joined = joined.filter(f"100 * least(na, nb) >= {pct} * greatest(na, nb)")
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            keep = likely(_matrix(batch.column("siga"), width), _matrix(batch.column("sigb"), width), pct / 100, miss)
+            batch = batch.take(pa.array(keep))
             if batch.num_rows:
-                keep = pa.array(likely(_matrix(batch.column("siga"), width), _matrix(batch.column("sigb"), width), similar, miss))
-                yield batch.select(["a", "b"]).take(keep)
+                maps = [_matrix(batch.column(c), MAP_BITS // 8) for c in ("mapa", "mapb")]
+                sizes = [batch.column(c).to_numpy() for c in ("na", "nb")]
+                yield batch.select(["a", "b"]).filter(pa.array(may_reach(*maps, *sizes, pct)))
 
-    return joined.select("a", "b", "siga", "sigb").mapInArrow(prune, "a long, b long")
+    return joined.select("a", "b", "na", "nb", "siga", "sigb", "mapa", "mapb").mapInArrow(prune, "a long, b long")
 
 
-def _blocks(members: DataFrame, width: int, similar: float, miss: float) -> DataFrame:
-    """Likely pairs (a, b) of one bucket and different components.
+def _blocks(members: DataFrame, width: int, pct: int, miss: float, forest: bool) -> DataFrame:
+    """Likely pairs (key, a, b) of one bucket and different components.
 
     Members are dealt into blocks of about ``BLOCK``; every two blocks of a bucket meet once, so
     no task ever holds a bucket. Sorted rows stream through, one pair of blocks at a time. Two
-    members are compared in the first bucket that they share.
+    members are compared in the first bucket that they share. With ``forest``, a pair is left out
+    if the pairs given before it in its two blocks connect its members.
     """
-    ratio = round(100 * similar)
 
     def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         table = pa.Table.from_batches(rows)
         if table.num_rows < 2:
             return None
         node, comp, n, block = (table.column(c).to_numpy() for c in ("node", "comp", "n", "block"))
-        sig = _matrix(table.column("sig").combine_chunks(), width)
+        sig, bits = (_matrix(table.column(c).combine_chunks(), w) for c, w in (("sig", width), ("map", MAP_BITS // 8)))
         band = table.column("band")[0].as_py()
         keys = (table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(node), -1))
         across = len(np.unique(block)) > 1 or bool(table.column("i")[0].as_py() != table.column("j")[0].as_py())
+        group = np.unique(comp, return_inverse=True)[1]  # components here, and what the given pairs join
         out_a, out_b = [], []
         for x in range(len(node) - 1):
             y = np.arange(x + 1, len(node))
-            y = y[comp[y] != comp[x]]
+            y = y[group[y] != group[x]]
             if across:
                 y = y[block[y] != block[x]]
-            y = y[100 * np.minimum(n[x], n[y]) >= ratio * np.maximum(n[x], n[y])]
+            y = y[100 * np.minimum(n[x], n[y]) >= pct * np.maximum(n[x], n[y])]
             y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]  # met in an earlier band already
             if len(y):
-                y = y[likely(np.broadcast_to(sig[x], (len(y), width)), sig[y], similar, miss)]
+                y = y[likely(np.broadcast_to(sig[x], (len(y), width)), sig[y], pct / 100, miss)]
+            if len(y):
+                y = y[may_reach(np.broadcast_to(bits[x], (len(y), bits.shape[1])), bits[y], np.full(len(y), n[x]), n[y], pct)]
+            if len(y) and forest:
+                y = y[np.unique(group[y], return_index=True)[1]]
+                group[np.isin(group, group[y])] = group[x]
+            if len(y):
                 out_a.append(np.full(len(y), node[x]))
                 out_b.append(node[y])
         if not out_a:
             return None
         a, b = np.concatenate(out_a), np.concatenate(out_b)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        key = np.full(len(a), table.column("key")[0].as_py(), dtype=np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["key", "a", "b"]
+        )
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -277,10 +310,10 @@ def _blocks(members: DataFrame, width: int, similar: float, miss: float) -> Data
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "node", "comp", "n", "block", "sig", "band", "keys",
+        "node", "comp", "n", "block", "sig", "map", "band", "keys",
     )
     ordered = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return ordered.mapInArrow(stream, "a long, b long").distinct()
+    return ordered.mapInArrow(stream, "key long, a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, pct: int, shingle: int) -> DataFrame:
@@ -342,18 +375,19 @@ def near_duplicates(
     has nothing else, and then all its rows are kept. An empty table gives no rows; other columns
     are not read.
     """
-    return _grouped(docs, similar_pct, shingle, bands, rows, miss).drop("k")
+    return _grouped(docs, similar_pct, shingle, bands, rows, miss).drop("k", "root")
 
 
 def _grouped(docs: DataFrame, similar_pct: int, shingle: int, bands: int, rows: int, miss: float) -> DataFrame:
-    """As ``near_duplicates``, with k, which tells rows of one doc_id with different texts apart."""
+    """As ``near_duplicates``, with k (tells rows of one doc_id with different texts apart) and the group's root."""
     similar, width = similar_pct / 100, bands * rows
     slim = docs.select("doc_id", "text")
     with arrow_rows(docs.sparkSession, 2000):
         signed = durable(signatures(slim, shingle, bands, rows), "signatures")
     # Rows of one class have equal keys and entries, so any of them will do.
     classes = signed.filter("n > 0").groupBy("n", "c1", "c2").agg(
-        F.min("doc_id").alias("low"), F.first("keys").alias("keys"), F.first("sig").alias("sig")
+        F.min("doc_id").alias("low"), F.first("keys").alias("keys"), F.first("sig").alias("sig"),
+        F.first("map").alias("map"),
     )
     nodes = durable(classes.withColumn("node", F.coalesce("low", F.xxhash64("n", "c1", "c2"))), "nodes")
 
@@ -363,31 +397,43 @@ def _grouped(docs: DataFrame, similar_pct: int, shingle: int, bands: int, rows:
     shared = BitMap(hubs, "key", 24)
     buckets = durable(entries.filter(shared.marked("key")).join(hubs, "key"), "buckets")
     spokes = durable(_spokes(buckets, nodes, similar, miss), "spokes")
-    likely_pairs = durable(_prune(spokes, nodes, width, similar, miss), "likely")
+    likely_pairs = durable(_prune(spokes, nodes, width, similar_pct, miss), "likely")
     links = _verified(likely_pairs, slim, nodes, similar_pct, shingle)
     found = durable(components(links), "components")
 
-    placed = buckets.filter("node <> hub").join(found, "node", "left").select(
-        "key", "band", "node", "n", F.coalesce("root", "node").alias("comp")
-    )
-    open_keys = placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("members"), F.min("comp").alias("x"), F.max("comp").alias("y")
-    ).filter("x <> y").select("key", "members")
-    members = placed.join(open_keys, "key").join(nodes.select("node", "sig", "keys"), "node")
-    rest = durable(_blocks(members, width, similar, miss), "rest")
-    more = _verified(rest, slim, nodes, similar_pct, shingle)
-    if more.limit(1).count():
-        chained = found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        found = durable(components(chained.unionByName(more)), "components")
+    # First a forest of the likely pairs of each bucket; where one of its pairs turns out not to be a
+    # link, others that it stood for are looked at too.
+    again: DataFrame | None = None
+    for forest in (True, False):
+        placed = buckets.filter("node <> hub").join(found, "node", "left").select(
+            "key", "band", "node", "n", F.coalesce("root", "node").alias("comp")
+        )
+        if again is not None:
+            placed = placed.join(again, "key", "left_semi")
+        open_keys = placed.groupBy("key").agg(
+            F.count(F.lit(1)).alias("members"), F.min("comp").alias("x"), F.max("comp").alias("y")
+        ).filter("x <> y").select("key", "members")
+        members = placed.join(open_keys, "key").join(nodes.select("node", "sig", "map", "keys"), "node")
+        rest = durable(_blocks(members, width, similar_pct, miss, forest), "rest")
+        asked = rest.select("a", "b").distinct()
+        more = _verified(asked, slim, nodes, similar_pct, shingle)
+        if more.limit(1).count():
+            chained = found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            found = durable(components(chained.unionByName(more)), "components")
+        again = durable(rest.join(more, ["a", "b"], "left_anti").select("key").distinct(), "again")
+        if again.isEmpty():
+            break
 
     grouped = nodes.join(found, "node", "left").select("n", "c1", "c2", "low", F.coalesce("root", "node").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
-    of_class = grouped.join(lowest, "root").select("n", "c1", "c2", "component_id")
+    of_class = grouped.join(lowest, "root").select("n", "c1", "c2", "root", "component_id")
     joined = signed.select("doc_id", "k", "n", "c1", "c2").filter("n > 0").join(of_class, ["n", "c1", "c2"])
-    alone = signed.filter("n = 0").select("doc_id", "k", "n", F.col("doc_id").alias("component_id"))
-    every = joined.select("doc_id", "k", "n", "component_id").unionByName(alone)
+    alone = signed.filter("n = 0").select(
+        "doc_id", "k", "n", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id")
+    )
+    every = joined.select("doc_id", "k", "n", "root", "component_id").unionByName(alone)
     return every.select(
-        "doc_id", "k", F.col("n").alias("n_shingles"), "component_id",
+        "doc_id", "k", "root", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
@@ -398,12 +444,18 @@ def without_near_duplicates(
 ) -> DataFrame:
     """The documents, with all columns, of which each group keeps one.
 
-    That is the one with the smallest doc_id, once if its row repeats. Groups without any doc_id keep
-    one row of each text. Texts without words stay. Only rows that may go, or repeat, are moved.
+    That is the one with the smallest doc_id (rows without one come last), of several such texts the
+    one with the smallest fingerprint, and once if its row repeats. Texts without words stay. Only rows
+    that may go, or repeat, are moved.
     """
     groups = _grouped(docs.select("doc_id", "text"), similar_pct, shingle, bands, rows, miss)
-    stays = groups.groupBy("doc_id", "k").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n"))
-    touched = durable(stays.filter("NOT kept OR (times > 1 AND n > 0)").select("doc_id", "k", "kept"), "touched")
+    worded = groups.filter("n_shingles > 0")
+    first = worded.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("first"))
+    texts = worded.groupBy("doc_id", "k").agg(F.max("root").alias("root"), F.count(F.lit(1)).alias("times"))
+    stays = texts.join(first, "root").withColumn(
+        "kept", (F.col("k") == F.col("first.k")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    )
+    touched = durable(stays.filter("NOT kept OR times > 1").select("doc_id", "k", "kept"), "touched")
     marked = docs.withColumn("_k", F.xxhash64(F.col("doc_id").cast("long"), text_of(docs)))
     marked = marked.withColumn("_maybe", BitMap(touched, "k", 23).marked("_k"))
     maybe = marked.filter("_maybe")

@@ -144,3 +144,36 @@ def test_one_of_each_stays(make_docs, with_clashes):
     expected = [rows[0], (6, None), (6, None), rows[6], (None, "no id at all"), rows[10], rows[11]]
     assert kept == sorted(map(str, expected))
     assert neardup.without_near_duplicates(make_docs([])).collect() == []
+
+
+def test_cluster_away_from_its_hub(make_docs, monkeypatch):
+    """Near copies of a passage that the bucket's smallest member only quotes: few pairs, one group."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    passage = " ".join(word() for _ in range(120))
+    docs = [(1, f"{passage} " + " ".join(word() for _ in range(400)))]
+    docs += [(10 + i, f"{passage} " + " ".join(word() for _ in range(4))) for i in range(700)]
+    asked, real = [], neardup._verified
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(make_docs(docs), shingle=2).collect()}
+    assert got == {1: 1} | {10 + i: 10 for i in range(700)}
+    assert max(asked) < 10 * len(docs)
+
+
+def test_bit_maps_never_rule_out_a_link():
+    rng = np.random.default_rng(13)
+    for size in (5, 300, 5000):
+        a = rng.integers(0, 2**64, size, dtype=np.uint64)
+        for share in (0.0, 0.5, 0.78, 0.8, 0.9, 1.0):
+            b = np.concatenate([a[: int(share * size)], rng.integers(0, 2**64, size - int(share * size), dtype=np.uint64)])
+            sets = [np.unique(a), np.unique(b)]
+            maps = neardup._maps(np.concatenate(sets), np.array([0, len(sets[0])]))
+            n = np.array([len(s) for s in sets])
+            both = len(np.intersect1d(*sets))
+            reaches = 100 * both >= 80 * (n[0] + n[1] - both)
+            assert neardup.may_reach(maps[:1], maps[1:], n[:1], n[1:], 80)[0] or not reaches
