@@ -28,7 +28,7 @@ SIMILAR_PCT = 80
 BANDS, ROWS = 40, 5  # a pair at 0.8 shares no band with probability 1.2e-7
 BATCH = 40  # signature entries compared at a time
 MISS = 1e-8
-BLOCK = 512  # members compared with each other in one block
+BLOCK = 2048  # members compared with each other in one block; each member goes to a task for every block of its bucket
 MAP_BITS = 2048  # of the bit map of a set's hashes
 _CHUNK = 1 << 18  # bytes of text handled at once, or one text
 
