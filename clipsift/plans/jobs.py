@@ -17,6 +17,7 @@ from clipsift.operators.scaling import fit_scaler
 from clipsift.operators.sets import union_sources
 from clipsift.session import durable
 from clipsift.sources import annotations, readers, writers
+from clipsift.sources.featurestore import BUCKETS, SeenIds
 from clipsift.streaming.events import event_json, run_available
 
 log = logging.getLogger(__name__)
@@ -39,10 +40,20 @@ def labeled_silver(
     writers.write_layer(projections.with_media_path(projections.with_audit(rows), media_root), silver)
 
 
-def crawled_silver(spark: SparkSession, bronze: str, silver: str, multiline: bool = True) -> None:
-    """Crawled metadata -> silver table partitioned by source (append)."""
+def crawled_silver(
+    spark: SparkSession, bronze: str, silver: str, multiline: bool = True, run_id: str | None = None
+) -> None:
+    """Crawled metadata -> silver table partitioned by source (append).
+
+    With a ``run_id`` the same run may be repeated without a second copy of its rows, and
+    ``writers.read_runs`` reads the table.
+    """
     rows = projections.extract_stats(readers.read_crawled_bronze(spark, bronze, multiline))
-    writers.write_layer(projections.with_audit(rows, "processed_at"), silver, "append", ["source"])
+    rows = projections.with_audit(rows, "processed_at")
+    if run_id is None:
+        writers.write_layer(rows, silver, "append", ["source"])
+    else:
+        writers.append_run(rows, silver, run_id, ["source"])
 
 
 def gold_sets(
@@ -172,26 +183,26 @@ def incremental(
     labels: DataFrame | None = None,
     drop: Sequence[int] | None = None,
     audio_width: int | None = None,
+    buckets: int = BUCKETS,
 ) -> None:
     """New ids on a stream -> features, gold rows and one event per finished item, below ``root``.
 
-    An id is new if neither the table ``silver`` nor an earlier batch has its features; no state
-    is kept. Failed audio becomes zeros of ``audio_width``; other items without a feature go to
+    An id is new if neither the table ``silver`` nor an earlier batch has its features. Finished ids
+    are kept in ``seen``, by bucket and with filters, so that a batch reads only the buckets that may
+    hold one of its ids (a root keeps its number of ``buckets``); what ``silver`` has got besides is added there when the stream starts. No
+    state is kept. Failed audio becomes zeros of ``audio_width``; other items without a feature go to
     ``failed`` and are tried again when they come again. New features go to ``silver``, gold rows
     to ``gold``, events to ``events``, each in the batch's own folder, which a batch that runs
     again overwrites.
     """
+    seen = SeenIds(stream.sparkSession, f"{root}/seen", buckets=buckets)
+    known = _if_there(stream.sparkSession, silver)
+    if known is not None:
+        seen.add_outside(known.select("video_id"))
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, target = batch.sparkSession, f"batch_id={batch_id}"
-        wanted = batch.select("video_id").filter("video_id is not null").distinct()
-        known = _if_there(spark, silver)
-        if known is not None:
-            wanted = wanted.join(known.select("video_id"), "video_id", "left_anti")
-        built = _if_there(spark, f"{root}/silver")
-        if built is not None:
-            earlier = built.filter(F.col("batch_id") != batch_id).select("video_id")
-            wanted = wanted.join(earlier, "video_id", "left_anti")
-        wanted = durable(wanted, "wanted")
+        wanted = durable(seen.unseen(batch, batch_id), "wanted")
         rows = build(wanted)
         if audio_width is not None:
             silence = F.array_repeat(F.lit(0.0).cast("float"), audio_width)
@@ -209,6 +220,7 @@ def incremental(
             F.create_map(F.lit("status"), F.lit("ready")),
         )
         done.select(note.alias("value")).write.mode("overwrite").text(f"{root}/events/{target}")
+        seen.add(done, batch_id)
 
     run_available(stream.select("video_id"), write, checkpoint)
 

@@ -223,7 +223,7 @@ def q_job_incremental(spark, sf):
     stream = events.parse_events(events.event_source(spark, path=lines, max_files=1))
     jobs.incremental(
         stream, silver, build_features(spark, sf), root, scratch_path(spark, "ckpt"),
-        labels=known_labels(spark, sf), audio_width=32,
+        labels=known_labels(spark, sf), audio_width=32, buckets=16,
     )
     ready = events.parse_events(spark.read.text(f"{root}/events").select("value")).select(
         "video_id", "source", "raw_path", F.col("metadata")["status"].alias("status")

@@ -9,6 +9,8 @@ from clipsift.operators import comments, ordering, sampling
 from clipsift.plans import standins as V
 from clipsift.plans.queries.scalars import tree_sql
 from clipsift.plans.registry import query
+from clipsift.session import scratch_path
+from clipsift.sources import predictionlog
 from clipsift.tables import load
 
 P = V.PREDICTIONS.sql
@@ -25,6 +27,19 @@ def q_recent_topn(spark, sf):
     )
 
 
+@query(
+    f"SELECT video_id, label, processing_time, ingested_at FROM {P} WHERE label = 'error' "
+    "ORDER BY ingested_at DESC, video_id LIMIT 50"
+)
+def q_latest_from_log(spark, sf):
+    """The same from a log in hourly folders, of which only the newest are opened."""
+    path = scratch_path(spark, "log")
+    predictionlog.write_log(V.PREDICTIONS.df(spark, sf), path)
+    return predictionlog.latest(
+        spark, path, 50, label="error", columns=["video_id", "label", "processing_time", "ingested_at"]
+    )
+
+
 @query(f"SELECT ingested_at, label FROM {P} ORDER BY ingested_at DESC, video_id LIMIT 2000")
 def q_recent_2000(spark, sf):
     return ordering.recent(

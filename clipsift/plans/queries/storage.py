@@ -269,6 +269,17 @@ def q_sink_append_partitioned(spark, sf):
     )
 
 
+@query("SELECT source, 2 * count(*) AS n, CAST(2 * sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY source")
+def q_sink_append_runs(spark, sf):
+    """One run twice and another once; the repeated one counts once."""
+    root = scratch_path(spark, "runs")
+    for run in ("monday", "monday", "tuesday 2/3"):
+        writers.append_run(load(spark, sf, "documents"), root, run, ["source"])
+    return writers.read_runs(spark, root).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars")
+    )
+
+
 @query(
     "SELECT video_id, label, processing_time FROM (SELECT * FROM "
     f"{V.PREDICTIONS.sql} UNION ALL SELECT * FROM {V.PREDICTIONS.sql})"

@@ -9,6 +9,7 @@ from clipsift.plans.queries.analytics import trend_sql
 from clipsift.plans.queries.relational import SCORED_SQL, item_features
 from clipsift.plans.registry import query
 from clipsift.session import scratch_path
+from clipsift.sources.featurestore import FeatureStore, SeenIds
 from clipsift.streaming import events, views
 from clipsift.tables import load
 
@@ -51,7 +52,9 @@ def q_stream_parse(spark, sf):
 def _sunk(spark, sf):
     root = event_lines(spark, sf)
     out = scratch_path(spark, "predictions")
-    sink = events.prediction_sink(out, item_features(spark, sf), events.linear_scorer())
+    store = FeatureStore(spark, scratch_path(spark, "features"), buckets=16)
+    store.put(item_features(spark, sf))
+    sink = events.prediction_sink(out, store, events.linear_scorer())
     stream = events.parse_events(events.event_source(spark, path=root))
     events.run_available(stream, sink, scratch_path(spark, "ckpt"))
     return out
@@ -99,22 +102,25 @@ def q_emit_events(spark, sf):
     f"SELECT DISTINCT video_id FROM {E} WHERE video_id NOT IN (SELECT CAST(doc_id AS STRING) FROM labels)"
 )
 def q_stream_new_ids(spark, sf):
-    root = event_lines(spark, sf)
-    done = load(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("video_id"))
-    stream = events.parse_events(events.event_source(spark, path=root)).select("video_id")
+    """Four batches against an index of ids, without stream state."""
+    root = event_lines(spark, sf, files=4)
+    seen = SeenIds(spark, scratch_path(spark, "seen"), buckets=16)
+    seen.add_outside(load(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("video_id")))
+    stream = events.parse_events(events.event_source(spark, path=root, max_files=1)).select("video_id")
     out = scratch_path(spark, "new")
-    events.run_to_table(events.new_items(stream, done), out, scratch_path(spark, "ckpt"))
-    return spark.read.schema("video_id string").parquet(out)
+    events.run_available(stream, events.new_ids_sink(out, seen), scratch_path(spark, "ckpt"))
+    return spark.read.parquet(out).select("video_id")
 
 
-def _view(spark, sf, view, *keys):
+def _view(spark, sf, view, part, *keys):
+    """Four batches, each folded into the maintained view."""
     root = event_lines(spark, sf, files=4)
     stream = events.parse_events(events.event_source(spark, path=root, max_files=1)).select(
         F.timestamp_seconds("timestamp").alias("ts"), F.col("source").alias("label")
     )
     out = scratch_path(spark, "view")
-    events.run_available(view(stream), events.table_sink(out), scratch_path(spark, "ckpt"), "update")
-    rows = views.latest(spark.read.parquet(out), *keys)
+    events.run_available(stream, views.view_sink(out, view, keys, part), scratch_path(spark, "ckpt"))
+    rows = views.read_view(spark, out)
     return rows.withColumn("bin", F.col("bin").cast("timestamp_ntz")) if "bin" in keys else rows
 
 
@@ -123,7 +129,7 @@ _binned = "(SELECT ts AS ingested_at, event_type AS label FROM events)"
 
 @query(f"SELECT time_bucket(INTERVAL 5 MINUTE, ingested_at) AS bin, count(label) AS n FROM {_binned} GROUP BY 1")
 def q_stream_trend(spark, sf):
-    return _view(spark, sf, views.trend_stream, "bin")
+    return _view(spark, sf, views.trend_stream, views.by_day(), "bin")
 
 
 @query(
@@ -132,10 +138,10 @@ def q_stream_trend(spark, sf):
 )
 def q_stream_label_counts(spark, sf):
     return _view(
-        spark, sf, lambda s: views.label_counts_stream(s, every="1 hour"), "bin", "label"
+        spark, sf, lambda s: views.label_counts_stream(s, every="1 hour"), views.by_day(), "bin", "label"
     )
 
 
 @query(f"SELECT label, count(*) AS n FROM {_binned} GROUP BY 1")
 def q_stream_label_totals(spark, sf):
-    return _view(spark, sf, views.label_counts_stream, "label")
+    return _view(spark, sf, views.label_counts_stream, views.whole(), "label")

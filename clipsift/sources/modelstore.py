@@ -13,11 +13,13 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+from py4j.protocol import Py4JJavaError
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import SparkSession
 
 from clipsift.operators.scaling import Scaler
 from clipsift.session import scratch_path
+from clipsift.sources.files import Folder
 
 ATTEMPTS = 32
 
@@ -38,39 +40,20 @@ class ModelStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._place = spark._jvm.org.apache.hadoop.fs.Path
-        self._files = self._place(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    # -- small text files -------------------------------------------------------------------
-    def _names(self, folder: str) -> list[str]:
-        path = self._place(f"{self.root}/{folder}")
-        return sorted(s.getPath().getName() for s in self._files.listStatus(path)) if self._files.exists(path) else []
-
-    def _write(self, name: str, text: str) -> None:
-        """Create a file that must not be there yet."""
-        out = self._files.create(self._place(f"{self.root}/{name}"), False)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-
-    def _read(self, name: str) -> str:
-        rows = self.spark.read.text(f"{self.root}/{name}", wholetext=True).collect()  # one small file
-        return rows[0][0] if rows else ""
-
-    # -- versions ---------------------------------------------------------------------------
+        self.folder = Folder(spark, root)
+
     def versions(self) -> list[str]:
         """Finished versions, in the order of their names."""
-        return [v for v in self._names("versions") if self._files.exists(self._place(f"{self.root}/versions/{v}/manifest.json"))]
+        return [v for v in self.folder.names("versions") if self.folder.exists(f"versions/{v}/manifest.json")]
 
     def info(self, version: str) -> dict:
-        return json.loads(self._read(f"versions/{version}/manifest.json"))
+        return json.loads(self.folder.read(f"versions/{version}/manifest.json"))
 
     def current(self) -> str | None:
         """The version that the newest pointer names; one still being written does not count."""
         finished = set(self.versions())
-        for number in reversed([n for n in self._names("current") if not n.startswith((".", "_"))]):
-            version = self._read(f"current/{number}").strip()
+        for number in reversed([n for n in self.folder.names("current") if not n.startswith((".", "_"))]):
+            version = self.folder.read(f"current/{number}").strip()
             if version in finished:
                 return version
         return None
@@ -80,27 +63,25 @@ class ModelStore:
         if version not in self.versions():
             raise KeyError(f"no finished version {version!r}")
         for _ in range(ATTEMPTS):
-            number = int(([n for n in self._names("current") if n.isdigit()] or ["0"])[-1]) + 1
+            number = int(([n for n in self.folder.names("current") if n.isdigit()] or ["0"])[-1]) + 1
             name = f"current/{number:012d}"
-            if self._files.exists(self._place(f"{self.root}/{name}")):
-                continue
             try:
-                self._write(name, version)
+                self.folder.create(name, version)
                 return
-            except Exception:  # another job took the number meanwhile
-                if not self._files.exists(self._place(f"{self.root}/{name}")):
+            except Py4JJavaError:  # another job took the number meanwhile
+                if not self.folder.exists(name):
                     raise
         raise OSError("too many jobs publish at once")
 
     def publish(self, model, info: dict | None = None, version: str | None = None, promote: bool = True) -> str:
         """Save a model as a new version and, unless told otherwise, make it the current one."""
-        version = version or f"{len(self._names('versions')):06d}-{uuid.uuid4().hex[:8]}"
+        version = version or f"{len(self.folder.names('versions')):06d}-{uuid.uuid4().hex[:8]}"
         if version in self.versions():
             raise ValueError(f"version {version!r} is finished already")
         path = f"{self.root}/versions/{version}"
-        self._files.delete(self._place(path), True)  # the rest of a run that failed
+        self.folder.delete(f"versions/{version}")  # the rest of a run that failed
         manifest = {"version": version, "info": info or {}, **_save(self.spark, model, f"{path}/model")}
-        self._write(f"versions/{version}/manifest.json", json.dumps(manifest))
+        self.folder.create(f"versions/{version}/manifest.json", json.dumps(manifest))
         if promote:
             self.promote(version)
         return version

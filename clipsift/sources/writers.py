@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clipsift import schemas
+from clipsift.sources.files import Folder
 
 
 def write_layer(
@@ -63,6 +65,37 @@ def replace_table(
         files.delete(place(fresh), True)
 
 
+RUNS = "_runs"  # markers of finished runs, hidden from plain readers
+
+
+def append_run(df: DataFrame, path: str, run_id: str, partition_by: Sequence[str] = ()) -> None:
+    """Add the rows of a run, or replace what the same run has added before.
+
+    Rows are written to a folder of this attempt, then the run's marker is pointed at it: readers see
+    the run's old rows or its new ones, and nothing of an attempt that failed.
+    """
+    folder, run = Folder(df.sparkSession, path), quote(str(run_id), safe="")
+    attempt = f"attempt={uuid.uuid4().hex}"
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{folder.root}/run={run}/{attempt}")
+    folder.replace(f"{RUNS}/{run}", f"run={run}/{attempt}")
+    for name in folder.names(f"run={run}"):
+        if name != attempt:
+            folder.delete(f"run={run}/{name}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all finished runs of a table that ``append_run`` has written."""
+    folder = Folder(spark, path)
+    if not folder.names(RUNS):
+        raise LookupError(f"{path} has no finished run")
+    markers = spark.read.text(f"{folder.root}/{RUNS}", wholetext=True).collect()  # a line a run
+    rows = spark.read.option("basePath", folder.root).parquet(*sorted(f"{folder.root}/{r[0]}" for r in markers))
+    return rows.drop("run", "attempt")
+
+
 def gold_rows(df: DataFrame, *more: str) -> DataFrame:
     """The columns of a gold table in its fixed types, and ``more``."""
     target = df.sparkSession.createDataFrame([], schemas.GOLD_ROW).schema

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clipsift import schemas
 from clipsift.functions.labels import SERVING_NAMES
 from clipsift.functions.vectors import prob_map, softmax, top_class
+from clipsift.sources.featurestore import FeatureStore, SeenIds
 
 
 def event_source(spark: SparkSession, kind: str = "files", **options) -> DataFrame:
@@ -74,20 +75,26 @@ def linear_scorer(emb: str = "embedding", names=SERVING_NAMES) -> Callable[[Data
 
 
 def score_events(
-    events: DataFrame, features: DataFrame, scorer: Callable[[DataFrame], DataFrame]
+    events: DataFrame, features: DataFrame | FeatureStore, scorer: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """Events with their prediction; events without features keep nulls.
 
     Each wanted item is scored once however many events name it; the small predictions are
-    joined back to the events, where adaptive execution splits a hot item.
+    joined back to the events, where adaptive execution splits a hot item. Of a feature store only
+    the buckets of the wanted items are read.
     """
     wanted = events.select("video_id").distinct()
-    scored = scorer(features.join(wanted, "video_id", "left_semi"))
-    return events.join(scored, "video_id", "left")
+    if isinstance(features, FeatureStore):
+        found = features.lookup(wanted)
+        if found is None:
+            raise LookupError(f"nothing is stored in {features.root}")
+    else:
+        found = features.join(wanted, "video_id", "left_semi")
+    return events.join(scorer(found), "video_id", "left")
 
 
 def prediction_sink(
-    path: str, features: DataFrame, scorer: Callable[[DataFrame], DataFrame]
+    path: str, features: DataFrame | FeatureStore, scorer: Callable[[DataFrame], DataFrame]
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer of scored events, partitioned by batch and outcome.
 
@@ -157,10 +164,21 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
     return query
 
 
+def new_ids_sink(path: str, seen: SeenIds) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of the ids that no earlier batch had, each once, and their recorder.
+
+    A batch that runs again finds and writes the same ids to its own folder. The stream keeps no state.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen.admit(batch, batch_id).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def new_items(stream: DataFrame, done: DataFrame, key: str = "video_id") -> DataFrame:
     """Ids not in ``done``, each once over the whole stream.
 
-    The ids seen are kept as state, which grows with them; a job that stores what it has done
-    (``jobs.incremental``) looks there instead and keeps none.
+    The ids seen are kept as state, which grows with them; ``new_ids_sink`` keeps them in a table
+    with a filter for each bucket instead.
     """
     return stream.join(done.select(key), key, "left_anti").dropDuplicates([key])
