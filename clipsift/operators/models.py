@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipsift.functions.counts import strip
@@ -77,6 +77,7 @@ def classify(
 
 
 # Shape of the fusion network.
+INPUTS = ("video_emb", "audio_emb", "text_emb", "metadata_numeric")
 HEADS = 8
 LAYERS = 2
 FFN_FACTOR = 4
@@ -150,23 +151,6 @@ def _rebuilt(part, arrays: Iterator[np.ndarray]):
     return type(part)(_rebuilt(inner, arrays) for inner in part)
 
 
-def save_weights(spark: SparkSession, weights: dict, path: str) -> None:
-    """Weights as a table (position, shape, values); bounded by the network."""
-    rows = [(i, list(a.shape), a.ravel().astype(float).tolist()) for i, a in enumerate(_arrays(weights))]
-    frame = spark.createDataFrame(rows, "position int, shape array<int>, values array<double>")
-    frame.write.mode("overwrite").parquet(path)
-
-
-def load_weights(spark: SparkSession, path: str, like: dict) -> dict:
-    """Weights saved by ``save_weights``; ``like`` has the layout, from ``random_weights``."""
-    rows = spark.read.parquet(path).orderBy("position").collect()
-    found = [np.array(r["values"]).reshape(r["shape"]) for r in rows]
-    wanted = [a.shape for a in _arrays(like)]
-    if [a.shape for a in found] != wanted:
-        raise ValueError("the weights are of another network")
-    return _rebuilt(like, iter(found))
-
-
 def fusion_logits(weights: dict, inputs: Sequence[np.ndarray], heads: int = HEADS) -> np.ndarray:
     """Logits of a whole batch: text and numeric tokens attend to video and audio tokens."""
     def linear(p, x):
@@ -200,9 +184,11 @@ def score_multimodal(
     df: DataFrame,
     weights: dict,
     key: str = "video_id",
-    inputs: Sequence[str] = ("video_emb", "audio_emb", "text_emb", "metadata_numeric"),
+    inputs: Sequence[str] = INPUTS,
+    *keep: str,
+    heads: int = HEADS,
 ) -> DataFrame:
-    """(key, logits, probs) by the fusion network, one forward pass per Arrow batch.
+    """(key, kept columns, logits, probs) by the fusion network, one forward pass per Arrow batch.
 
     The weights have a fixed size set by the network, not by the data; beyond
     ``MAX_WEIGHT_BYTES`` they are refused.
@@ -217,11 +203,11 @@ def score_multimodal(
             if len(batch):
                 arrays = [np.stack(batch[c].to_numpy()).astype(float) for c in inputs]
                 yield pd.DataFrame(
-                    {key: batch[key], "logits": list(fusion_logits(sent.value, arrays))}
+                    {**{c: batch[c] for c in (key, *keep)}, "logits": list(fusion_logits(sent.value, arrays, heads))}
                 )
 
-    kind = df.schema[key].dataType.simpleString()
-    scored = df.select(key, *inputs).mapInPandas(run, f"{key} {kind}, logits array<double>")
+    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in (key, *keep))
+    scored = df.select(key, *keep, *inputs).mapInPandas(run, f"{kinds}, logits array<double>")
     return scored.withColumn("probs", softmax(F.col("logits")))
 
 
@@ -271,17 +257,3 @@ def predict(model, df: DataFrame, features: str, keep: Sequence[str]) -> DataFra
     return model.transform(rows).select(
         *keep, F.col("prediction").cast("int").alias("pred"), vector_to_array("probability").alias("probs")
     )
-
-
-def transfer(df: DataFrame, base, features: str, label: str, train: Column, seed: int = 42):
-    """Two-class head on a frozen base model.
-
-    The base probabilities join the features as further inputs; this stands in for replacing
-    the last layer of a network. Returns the fitted head and the widened frame.
-    """
-    kept = [c for c in df.columns if c != features]
-    widened = predict(base, df.withColumn("_f", F.col(features)), features, [*kept, "_f"]).select(
-        *kept, F.concat(F.col("_f").cast("array<double>"), F.col("probs")).alias(features)
-    )
-    model, scores = train_classifier(widened, features, label, train, seed=seed)
-    return model, widened, scores

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from clipsift.functions.comments import has_word
 from clipsift.functions.labels import binary_label
 from clipsift.functions.vectors import as_doubles, collapse_multiclass, dot, total
-from clipsift.operators import metrics, models, sampling
+from clipsift.operators import metrics, models, sampling, training
+from clipsift.operators.scaling import fit_scaler
 from clipsift.plans import sqltext as S
 from clipsift.plans import standins as V
 from clipsift.plans.queries.scalars import TOXIC
 from clipsift.plans.registry import query
+from clipsift.session import scratch_path
+from clipsift.sources.modelstore import ModelStore
 from clipsift.tables import load
 
 
@@ -82,12 +86,59 @@ def q_train_classifier(spark, sf):
     return metrics.class_metrics(found)
 
 
+def network_rows(spark, sf):
+    """The network's inputs with the target of ``training_rows``."""
+    target = training_rows(spark, sf).select("vec_id", "label", (F.col("split") == "train").alias("in_train"))
+    return fusion_inputs(spark, sf).drop("label").join(target, "vec_id")
+
+
+@query(
+    "SELECT c AS class, count(*) / 4e0 - count(*) FILTER (label % 4 = c) AS gradient, "
+    "round(count(*) * ln(4), 6) AS loss FROM embeddings, (VALUES (0), (1), (2), (3)) t(c) GROUP BY c"
+)
+def q_gradient_sum(spark, sf):
+    """With an empty last layer every class has probability 1/4, so the last bias' gradient is a count."""
+    weights = models.random_weights(INPUT_DIMS, WIDTH, 4)
+    weights["head"][1] = tuple(np.zeros_like(a) for a in weights["head"][1])
+    loss, _, grads = training.gradient_sum(fusion_inputs(spark, sf), weights)
+    rows = [(c, round(float(g), 9), round(loss, 6)) for c, g in enumerate(grads["head"][1][1])]
+    return spark.createDataFrame(rows, "class int, gradient double, loss double")
+
+
+@query()
+def q_train_network(spark, sf):
+    """Macro F1 and loss of the network while it learns."""
+    weights = models.random_weights(INPUT_DIMS, WIDTH, 4)
+    _, history = training.train_network(
+        network_rows(spark, sf), weights, "label", F.col("in_train"), 6, "vec_id", optimizer=training.AdamW(lr=3e-3), check_every=3
+    )
+    return spark.createDataFrame(history, "step int, loss double, macro_f1 double")
+
+
 @query()
 def q_transfer(spark, sf):
-    rows = training_rows(spark, sf)
-    in_train = F.col("split") == "train"
-    base, _ = models.train_classifier(rows, "features", "label", in_train, grid=(0.0,))
+    """A four-class network, published and loaded again, goes on with a new head of two classes."""
+    rows, store = network_rows(spark, sf), ModelStore(spark, scratch_path(spark, "models"))
+    base, _ = training.train_network(
+        rows, models.random_weights(INPUT_DIMS, WIDTH, 4), "label", F.col("in_train"), 3, "vec_id", check_every=3
+    )
+    store.publish(base)
     two = rows.withColumn("label", binary_label(F.col("label")))
-    head, widened, _ = models.transfer(two, base, "features", "label", F.col("split") == "train")
-    found = models.predict(head, widened.filter("split = 'val'"), "features", ["vec_id", "label"])
-    return metrics.class_metrics(found)
+    tuned, _ = training.transfer(
+        two, store.load(), "label", F.col("in_train"), 4, "vec_id", frozen=("project",), optimizer=training.AdamW(lr=3e-3), check_every=2
+    )
+    scored = models.score_multimodal(two.filter("NOT in_train"), tuned, "vec_id", models.INPUTS, "label")
+    return metrics.class_metrics(scored.select("label", (F.array_position("probs", F.array_max("probs")) - 1).cast("int").alias("pred")))
+
+
+@query(
+    "SELECT doc_id, CASE WHEN m.s > 0 THEN round((n_chars - m.a) / m.s, 6) ELSE 0 END AS z FROM documents, "
+    "(SELECT avg(n_chars) AS a, stddev_pop(n_chars) AS s FROM documents) m"
+)
+def q_model_store(spark, sf):
+    """A scaler that was published, replaced by a wrong one, and brought back."""
+    store, docs = ModelStore(spark, scratch_path(spark, "models")), load(spark, sf, "documents").select("doc_id", "n_chars")
+    right = store.publish(fit_scaler(docs, ["n_chars"]))
+    store.publish(fit_scaler(docs.filter("doc_id < 10"), ["n_chars"]))
+    store.promote(right)
+    return store.load().transform(docs, "_z").select("doc_id", F.round("n_chars_z", 6).alias("z"))

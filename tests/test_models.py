@@ -88,7 +88,7 @@ def test_classifiers(spark):
     assert rule == plugged == {0: 1, 1: 0, 2: 0, 3: 0}
 
 
-def test_training_and_transfer(spark):
+def test_training(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(240, 3))
     label = (x[:, 0] > 0).astype(int) * 2 + (x[:, 1] > 0)
@@ -98,10 +98,7 @@ def test_training_and_transfer(spark):
     model, scores = models.train_classifier(df, "f", "label", in_train, grid=(0.0, 5.0))
     found = dict(scores)
     assert found["lr0"] > 0.85 and found["lr0"] >= found["lr5"]
-    two = df.withColumn("label", (F.col("label") > 0).cast("int"))
-    head, widened, result = models.transfer(two, model, "f", "label", in_train)
-    assert widened.first()["f"].__len__() == 7 and max(s for _, s in result) > 0.8
-    pred = models.predict(head, widened, "f", ["i", "label"])
+    pred = models.predict(model, df, "f", ["i", "label"])
     assert pred.columns == ["i", "label", "pred", "probs"] and pred.count() == 240
 
 
@@ -111,16 +108,6 @@ def test_perceptron(spark):
     assert scores == [("mlp", 1.0)]
 
 
-def test_weights_are_kept(spark, tmp_path):
-    weights = models.random_weights([4, 4, 4, 3], 8, 2, seed=3)
-    models.save_weights(spark, weights, str(tmp_path / "w"))
-    back = models.load_weights(spark, str(tmp_path / "w"), models.random_weights([4, 4, 4, 3], 8, 2, seed=9))
-    inputs = [np.ones((2, d)) for d in (4, 4, 4, 3)]
-    assert np.array_equal(models.fusion_logits(weights, inputs, 2), models.fusion_logits(back, inputs, 2))
-    with pytest.raises(ValueError):
-        models.load_weights(spark, str(tmp_path / "w"), models.random_weights([4, 4, 4, 3], 16, 2))
-
-
 def test_error_function():
     x = np.linspace(-6, 6, 2001)
     assert np.abs(models._erf(x) - [math.erf(v) for v in x]).max() < 1e-9

@@ -9,7 +9,7 @@ PLANS, SQL = entry.queries(), entry.oracle_sql()
 
 # Queries that run vectorised Python functions on the executors; all others stay in the JVM.
 PYTHON = {
-    "q_score_multimodal", "op2_sentencepiece", "op3_toxicity", "op5_token_shards", "op6_packing",
+    "q_score_multimodal", "q_transfer", "op2_sentencepiece", "op3_toxicity", "op5_token_shards", "op6_packing",
     "op7_nearest_neighbours", "op8_suffix_dedup", "op9_minhash_dedup", "op11_hard_negatives",
     "op13_conversation_trie", "pipeline",
 }
