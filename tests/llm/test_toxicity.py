@@ -13,31 +13,58 @@ INSULTS = ["idiot", "moron", "stupid", "loser"]
 PLAIN = [f"{a}{b}{c}" for a in ("the", "on", "er", "an", "ca", "li", "re") for b in ("ti", "ne", "ra", "do", "mi") for c in ("n", "st", "ble", "s")]
 
 
+def plain_features(codes):
+    """Runs of four in order over all gaps, each occurrence weighted by the span it takes."""
+    out = {}
+    for places in combinations(range(len(codes)), tox.ORDER):
+        if places[-1] - places[0] < tox.SPAN:
+            key = tuple(int(codes[i]) for i in places)
+            out[key] = out.get(key, 0) + tox.DECAY ** (places[-1] - places[0])
+    return out
+
+
 def plain_kernel(a, b):
-    """Common triples over all gaps, each occurrence weighted by the span it takes."""
-    def features(word):
-        codes = tox._encoded([word])[0]
-        out, square = {}, 0.0
-        for i, j, k in combinations(range(len(codes)), 3):
-            if k - i < tox.SPAN:
-                key = (codes[i], codes[j], codes[k])
-                out[key] = out.get(key, 0) + tox.DECAY ** (k - i)
-                square += tox.DECAY ** (2 * (k - i))
-        return {key: v / square**0.5 for key, v in out.items()}
+    x, y = plain_features(a), plain_features(b)
+    square = sum(tox.DECAY ** (2 * (p[-1] - p[0])) for p in combinations(range(tox.WINDOW), tox.ORDER) if p[-1] - p[0] < tox.SPAN)
+    return sum(v * y.get(key, 0) for key, v in x.items()) / square
+
 
-    x, y = features(a), features(b)
-    return sum(v * y.get(key, 0) for key, v in x.items())
+def windows_of(text):
+    codes = tox.encoded(text)
+    return [codes[i : i + tox.WINDOW] for i in range(len(codes) - tox.WINDOW + 1)]
 
 
 def test_kernel_definition():
-    words = ["idiot", "idi-ot", "a", "été", "banana", "stupidity", "ß"]
-    marks = ["idiot", "banana", "stupid"]
-    expected = [[plain_kernel(w, m) for m in marks] for w in words]
-    assert np.allclose(tox.kernel(words, marks), expected)
-    weights = np.zeros(tox.CODES**3)
-    index, value = tox.triples("idiot")
-    np.add.at(weights, index, value)
-    assert np.allclose(tox.evaluate(words, weights), [plain_kernel(w, "idiot") for w in words])
+    windows = np.array([windows_of(t)[0] for t in ("you idiot go", "an id iot is", "a", "été banana ß", "stupidity 12")])
+    marks = np.array([windows_of(t)[0] for t in (" idiot", "banana stand", "stupid")])
+    expected = [[plain_kernel(w, m) for m in marks] for w in windows]
+    assert np.allclose(tox.kernel(windows, marks, step=2), expected)
+    assert expected[1][0] > 5 * expected[3][0]
+
+
+def test_scores_are_sums_over_windows(monkeypatch):
+    """A text's features against every window's plain features, also when texts are read in parts."""
+    rng = np.random.default_rng(3)
+    weights = rng.standard_normal(tox.FEATURES).astype(np.float32)
+    own = tox.Model(weights, 0.1, np.array([0.2, 0.5, -0.3, 0.1]))
+    texts = ["", "idiot", "An id-iot, i d i o t and a b c!", "ÉTÉ  \n\t ça", "thing " * 12]
+    power = tox.CODES ** np.arange(tox.ORDER)[::-1]
+    square = sum(tox.DECAY ** (2 * (p[-1] - p[0])) for p in combinations(range(tox.WINDOW), tox.ORDER) if p[-1] - p[0] < tox.SPAN)
+    expected = []
+    for text in texts:
+        values = [0.1 + sum(v * weights[int(np.dot(k, power))] for k, v in plain_features(w).items()) / square**0.5 for w in windows_of(text)]
+        places = sum(v > 0 and not (i and values[i - 1] > 0) for i, v in enumerate(values))
+        expected.append([max(max(values), tox.FLOOR), np.log1p(places), np.log(len(tox.encoded(text)))])
+    assert np.allclose(own.text_features(texts), expected, atol=1e-5)
+    monkeypatch.setattr(tox, "CHUNK", 20)
+    found = own.text_features(texts)
+    assert np.allclose(found, expected, atol=1e-5)
+    assert np.allclose(own.text_scores(found), [1 / (1 + np.exp(-(0.2 + 0.5 * a - 0.3 * b + 0.1 * c))) for a, b, c in expected])
+
+
+def test_marks_are_squeezed_out():
+    assert tox.squeezed("an i d i o t, a s s, id-iot. a b") == "an i d i o t, a s s, id-iot. a b idiotass idiot"
+    assert tox.squeezed("plain words here. Next") == "plain words here. Next"
 
 
 def texts(seed, n):
@@ -74,6 +101,19 @@ def test_altered_insults(make_docs, with_clashes, model):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 4, 6, 7, 9]
 
 
+def test_broken_insults(make_docs, with_clashes, model):
+    """Insults broken by a space, spelled out, or with inserted characters; harmless words alike stay."""
+    base = " ".join(PLAIN[:30])
+    bad = ["st upid", "id iot", "i d i o t", "mo ron", "l-o-s-e-r", "IDIIOT", "idíot", "stu\npid"]
+    good = ["cation", "t h e", "on er an", "ca li re", "x" * 300_000]
+    docs = with_clashes(make_docs([(i, f"{base} {c} {base}") for i, c in enumerate(bad + good)]))
+    out = {r.doc_id: r.predicted for r in tox.score_documents(docs, model).collect()}
+    assert [out[i] for i in range(len(bad))] == [1] * len(bad)
+    assert [out[len(bad) + i] for i in range(len(good))] == [0] * len(good)
+    kept = tox.without_toxic(docs, model)
+    assert kept.columns == docs.columns and kept.count() == len(good)
+
+
 def test_held_out_texts(make_docs, model):
     docs, labels = texts(2, 300)
     out = {r.doc_id: r.predicted for r in tox.score_documents(make_docs(docs), model).collect()}
