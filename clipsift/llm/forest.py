@@ -77,21 +77,27 @@ class Forest:
                     todo += [(left, own[~over]), (right, own[over])]
         return out
 
-    def visit(self, q: np.ndarray, breadth: float) -> list[int]:
-        """Leaves in the order of one queue over all trees, until they hold enough of the sample."""
-        queue = [(-np.inf, root) for root in self.roots]
+    def visit(self, q: np.ndarray, breadth: float, least: int) -> list[int]:
+        """Leaves in the order of one queue over all trees, until they hold enough of the sample.
+
+        Vectors of one tree's leaves are distinct, so the queue also goes on until one tree alone
+        has shown ``least`` vectors, or all.
+        """
+        queue = [(-np.inf, root, tree) for tree, root in enumerate(self.roots)]
         wanted, met, out = breadth * self.total * len(self.roots), 0, []
-        while queue and met < wanted:
-            bound, node = heapq.heappop(queue)
+        shown, least = [0] * len(self.roots), min(least, self.total)
+        while queue and (met < wanted or max(shown) < least):
+            bound, node, tree = heapq.heappop(queue)
             left, right = self.children[node]
             if left < 0:
                 out.append(node)
                 met += self.sizes[node]
+                shown[tree] += self.sizes[node]
                 continue
             margin = float(q @ self.planes[node]) - self.offsets[node]
             # The queue is ordered by how far a vector would lie beyond the planes behind it.
-            heapq.heappush(queue, (max(bound, margin), left))
-            heapq.heappush(queue, (max(bound, -margin), right))
+            heapq.heappush(queue, (max(bound, margin), left, tree))
+            heapq.heappush(queue, (max(bound, -margin), right, tree))
         return out
 
 
@@ -167,7 +173,7 @@ def neighbours(
                 q = _matrix(batch.column("v"))
                 # Queries are lifted with 0: nearest by distance is then largest by inner product.
                 q = np.concatenate([q * np.sqrt(longest / (q * q).sum(axis=1, keepdims=True)), np.zeros((len(q), 1))], axis=1)
-                visited = [forest.value.visit(x, breadth) for x in q.astype(np.float32)]
+                visited = [forest.value.visit(x, breadth, k + 1) for x in q.astype(np.float32)]
                 own = np.repeat(np.arange(len(q)), [len(x) for x in visited])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(visited).astype(np.int32)), batch.column("low").take(pa.array(own)),

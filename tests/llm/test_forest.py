@@ -80,3 +80,16 @@ def test_few_rows(spark):
     assert none.collect() == [] and none.columns == ["query_id", "rank", "vec_id", "score"]
     two = forest.neighbours(table(spark, [(0, [1.0, 0.0]), (7, [0.5, 2.0])]), F.col("vec_id") % 20 == 0)
     assert [tuple(r) for r in two.collect()] == [(0, 1, 7, 0.5)]
+
+
+@pytest.mark.parametrize("n", [15, 21, 24, 40, 60, 100])
+def test_tight_clusters(spark, n):
+    """Every query ends with k neighbours, or all candidates if there are fewer."""
+    rng = np.random.default_rng(n)
+    centre = rng.standard_normal((2, 16)) * 5
+    rows = [(i, (centre[i % 2] + 0.01 * rng.standard_normal(16)).tolist()) for i in range(n)]
+    found = by_query(forest.neighbours(table(spark, rows), F.col("vec_id") % 5 == 0))
+    expected = exact(rows, 20, 5)
+    assert {q: len(own) for q, own in found.items()} == {q: min(20, n - 1) for q in expected}
+    hits = sum(len({i for _, i, _ in found[q]} & {i for _, i in own}) for q, own in expected.items())
+    assert hits >= 0.9 * sum(map(len, expected.values()))
