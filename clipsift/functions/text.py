@@ -76,12 +76,16 @@ def truncate(c: Column, n: int = 600) -> Column:
 
 def merged_text(caption: Column, comments: Column) -> Column:
     """Cleaned caption followed by the cleaned comments, as one text."""
-    cleaned = normalize_text(strip_hashtags(caption))
     spoken = F.array_join(
         F.filter(F.transform(F.coalesce(comments, F.array().cast("array<string>")), lambda t: normalize_text(t)),
                  lambda t: t != ""), " "
     )
-    return F.trim(F.concat_ws(" ", cleaned, spoken))
+    return merged_with(caption, spoken)
+
+
+def merged_with(caption: Column, spoken: Column) -> Column:
+    """Cleaned caption followed by a text of cleaned comments, as one text."""
+    return F.trim(F.concat_ws(" ", normalize_text(strip_hashtags(caption)), spoken))
 
 
 def has_laugh(c: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clipsift.functions.text import join_comments, normalize_text, strip_hashtags, tag_text
 from clipsift.operators import aggregates, filters, joins, metrics, ordering, projections, sampling
+from clipsift.operators.comments import joined_text_by
 from clipsift.operators.features import numeric_vector
 from clipsift.operators.models import encode_text
 from clipsift.operators.scaling import fit_scaler
@@ -113,11 +114,14 @@ def metadata_features(
     sample_n: int | None = None,
     encoder=None,
     key: str = "video_id",
+    comments: DataFrame | None = None,
     **vector_options,
 ) -> DataFrame:
     """Posts -> silver metadata features: scaled and raw numerics, three text vectors.
 
-    ``posts`` holds the five counts, date, description, tags and comment_texts. The 25 numbers are
+    ``posts`` holds the five counts, date, description, tags and comment_texts; instead of these
+    ``comments`` may hold the comments as rows (key, pos, text), which are never collected for the
+    numbers and joined to a post's text from pieces of bounded length. The 25 numbers are
     written once with the texts beside them, since the scaler reads them before the output does;
     the texts are encoded only for the output. Rows stay as they are, also those without a key or
     with a repeated one.
@@ -126,10 +130,14 @@ def metadata_features(
     texts = {
         "desc": normalize_text(strip_hashtags(F.col("description"))),
         "tags": normalize_text(tag_text(F.col("tags"))),
-        "comments": join_comments(F.col("comment_texts")),
     }
+    if comments is None:
+        texts["comments"] = join_comments(F.col("comment_texts"))
+    else:
+        posts = posts.join(joined_text_by(comments, key, out="_spoken"), key, "left")
+        texts["comments"] = F.col("_spoken")
     carried = [text.alias(f"_{name}") for name, text in texts.items()]
-    raw = durable(numeric_vector(posts, **vector_options).select(key, *names, *carried), "numeric")
+    raw = durable(numeric_vector(posts, comments=comments, key=key, **vector_options).select(key, *names, *carried), "numeric")
     both = raw.withColumn("numeric_raw", F.array(*[F.col(n) for n in names]))
     rows = fit_scaler(raw, names, sample_n, key if sample_n else None).transform(both)
     rows = rows.withColumn("numeric_scaled", F.array(*[F.col(n) for n in names]))

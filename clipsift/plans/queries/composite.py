@@ -12,7 +12,7 @@ from clipsift.plans import sqltext as S
 from clipsift.plans import standins as V
 from clipsift.plans.queries.analytics import P, RISK_SQL, TIMED_SQL, describe_sql, trend_sql
 from clipsift.plans.queries.ranking import split_sql
-from clipsift.plans.queries.scalars import RULES, near, posts_with_comments, vector_sql
+from clipsift.plans.queries.scalars import RULES, comment_rows, near, tree_sql, vector_sql
 from clipsift.plans.queries.storage import by_id_sql, crawled_events, gold_rows
 from clipsift.plans.queries.streams import event_lines
 from clipsift.plans.registry import query
@@ -116,27 +116,43 @@ _params = ", ".join(
     for n in NUMERIC_FEATURES
 )
 _scaled = ", ".join(f"{S.near(f'({n} - m_{n}) / s_{n}', 3)} AS {n}" for n in NUMERIC_FEATURES)
+_raw = ", ".join(f"{S.near(n, 6)} AS raw_{n}" for n in NUMERIC_FEATURES)
 _no_tags = r"regexp_replace(text, '#\S+', '', 'g')"
 
 
 @query(f"""
   WITH v AS MATERIALIZED (SELECT * FROM {vector_sql(None)}), p AS (SELECT {_params} FROM v),
-  d AS (SELECT CAST(doc_id AS STRING) AS id, {S.clean(_no_tags)} AS t FROM {V.CAPTIONS.sql})
-  SELECT v.video_id, {_scaled}, CASE WHEN coalesce(t, '') = '' THEN 0e0 ELSE 1e0 END AS desc_norm
-  FROM v, p LEFT JOIN d ON v.video_id = d.id""")
+  d AS (SELECT CAST(doc_id AS STRING) AS id, {S.clean(_no_tags)} AS t,
+          regexp_extract_all(lower(tags), '[^#\\s]+') AS tag FROM {V.CAPTIONS.sql}),
+  c AS (SELECT video_id, string_agg({S.clean('text')}, ' [SEP] ' ORDER BY pos) AS said FROM {tree_sql()} GROUP BY video_id)
+  SELECT v.video_id, {_scaled}, {_raw}, CASE WHEN coalesce(t, '') = '' THEN 0e0 ELSE 1e0 END AS desc_norm,
+         CASE WHEN coalesce(said, '') = '' THEN 0e0 ELSE 1e0 END AS comments_norm,
+         count(*) OVER (PARTITION BY coalesce(said, '')) AS alike_comments,
+         min(v.video_id) OVER (PARTITION BY coalesce(list_sort(tag), [])) AS first_alike_tags
+  FROM v, p LEFT JOIN d ON v.video_id = d.id LEFT JOIN c ON v.video_id = c.video_id""")
 def q_job_metadata_features(spark, sf):
     captions = V.CAPTIONS.df(spark, sf).select(
         F.col("doc_id").cast("string").alias("video_id"), F.col("text").alias("description"),
         F.split("tags", " ").alias("tags"),
     )
-    posts = posts_with_comments(spark, sf).join(captions, "video_id", "left")
+    posts = V.POSTS.df(spark, sf).join(captions, "video_id", "left")
     out = scratch_path(spark, "silver")
-    jobs.metadata_features(posts, 64, **RULES).write.parquet(out)
-    squares = F.transform(as_doubles(F.col("desc_emb")), lambda x: x * x)
-    return spark.read.parquet(out).select(
+    jobs.metadata_features(posts, 4096, comments=comment_rows(spark, sf), **RULES).write.parquet(out)
+
+    def norm(vector):
+        return F.round(F.sqrt(total(F.transform(as_doubles(F.col(vector)), lambda x: x * x))), 4)
+
+    # Equal texts have equal vectors, and different ones do not.
+    names = {f"{v}_hash": F.md5(F.concat_ws(",", F.col(v).cast("array<string>"))) for v in ("comments_emb", "tags_emb")}
+    rows = spark.read.parquet(out).withColumns(names)
+    comments = rows.groupBy("comments_emb_hash").agg(F.count(F.lit(1)).alias("alike_comments"))
+    tags = rows.groupBy("tags_emb_hash").agg(F.min("video_id").alias("first_alike_tags"))
+    return rows.join(comments, "comments_emb_hash").join(tags, "tags_emb_hash").select(
         "video_id",
         *[near(F.get("numeric_scaled", F.lit(i)), 3).alias(n) for i, n in enumerate(NUMERIC_FEATURES)],
-        F.round(F.sqrt(total(squares)), 4).alias("desc_norm"),
+        *[near(F.get("numeric_raw", F.lit(i))).alias(f"raw_{n}") for i, n in enumerate(NUMERIC_FEATURES)],
+        norm("desc_emb").alias("desc_norm"), norm("comments_emb").alias("comments_norm"),
+        "alike_comments", "first_alike_tags",
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clipsift.functions.comments import flatten_comments
 from clipsift.operators import comments, ordering, sampling
 from clipsift.plans import standins as V
 from clipsift.plans.queries.scalars import tree_sql
@@ -57,9 +56,7 @@ def q_build_comment_tree(spark, sf):
     f"FROM {tree_sql()}"
 )
 def q_flatten_comments(spark, sf):
-    trees = comments.nest_comment_tree(comments.build_comment_tree(V.COMMENTS.df(spark, sf)))
-    flat = trees.select("video_id", F.posexplode(flatten_comments(F.col("comments_tree"))).alias("idx", "text"))
-    return flat.withColumn("idx", F.col("idx").cast("long"))
+    return comments.flatten_comment_rows(comments.build_comment_tree(V.COMMENTS.df(spark, sf)))
 
 
 @query("SELECT c_custkey, c_name FROM customer ORDER BY md5(concat(c_custkey, ':42')), c_custkey LIMIT 50")

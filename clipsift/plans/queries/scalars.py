@@ -166,9 +166,7 @@ def tree_sql(max_replies: int | None = None, max_total: int | None = None) -> st
     f"FROM {tree_sql()} GROUP BY video_id"
 )
 def q_join_comments(spark, sf):
-    nested = trees.nest_comment_tree(trees.build_comment_tree(V.COMMENTS.df(spark, sf)))
-    flat = comments.flatten_comments(F.col("comments_tree"))
-    return nested.select("video_id", text.join_comments(flat).alias("joined"))
+    return trees.joined_text_by(trees.build_comment_tree(V.COMMENTS.df(spark, sf)), "video_id")
 
 
 @query("SELECT doc_id, substring(text, 1, 600) AS text FROM documents")
@@ -445,13 +443,9 @@ def vector_sql(digits: int | None = 6) -> str:
     )
 
 
-def posts_with_comments(spark, sf):
-    """Posts with the texts of their comment tree."""
-    nested = trees.nest_comment_tree(trees.build_comment_tree(V.COMMENTS.df(spark, sf)))
-    texts = nested.select(
-        "video_id", comments.flatten_comments(F.col("comments_tree")).alias("comment_texts")
-    )
-    return V.POSTS.df(spark, sf).join(texts, "video_id", "left")
+def comment_rows(spark, sf):
+    """Comments of the posts' trees, as rows."""
+    return trees.build_comment_tree(V.COMMENTS.df(spark, sf))
 
 
 RULES = {"toxic": comments.has_word(TOXIC), "constructive": comments.has_word(CONSTRUCTIVE)}
@@ -459,7 +453,7 @@ RULES = {"toxic": comments.has_word(TOXIC), "constructive": comments.has_word(CO
 
 @query(f"SELECT * FROM {vector_sql()}")
 def q_numeric_vector(spark, sf):
-    found = features.numeric_vector(posts_with_comments(spark, sf), **RULES)
+    found = features.numeric_vector(V.POSTS.df(spark, sf), comments=comment_rows(spark, sf), **RULES)
     return found.select(
         "video_id", *[near(n).alias(n) for n in NUMERIC_FEATURES]
     )
@@ -475,13 +469,10 @@ _no_tags = r"regexp_replace(text, '#\S+', '', 'g')"
     f"AS spoken FROM {tree_sql()} GROUP BY video_id) ON CAST(doc_id AS STRING) = video_id"
 )
 def q_merged_text(spark, sf):
-    nested = trees.nest_comment_tree(trees.build_comment_tree(V.COMMENTS.df(spark, sf)))
-    spoken = nested.select(
-        F.col("video_id").cast("long").alias("doc_id"),
-        comments.flatten_comments(F.col("comments_tree")).alias("spoken"),
-    )
+    spoken = trees.joined_text_by(comment_rows(spark, sf), "video_id", sep=" ", out="spoken", blanks=False)
+    spoken = spoken.select(F.col("video_id").cast("long").alias("doc_id"), "spoken")
     joined = _captions(spark, sf).join(spoken, "doc_id", "left")
-    return joined.select("doc_id", text.merged_text(F.col("text"), F.col("spoken")).alias("merged"))
+    return joined.select("doc_id", text.merged_with(F.col("text"), F.col("spoken")).alias("merged"))
 
 
 _stat_cols = ", ".join(f"ROUND({e}, 6) AS {n}" for n, e in _stats_sql.items())
