@@ -37,6 +37,7 @@ LEAST = 4  # toxic documents a string must be in
 MAX_BAD, MAX_HARD = 4000, 4000  # bad windows, and hard ones a round, that the machine is trained on
 BY_CHANCE, PER_TEXT = 2, 4  # windows of a clean document: some for a start, the worst in each round
 LANDMARKS = 500
+ROWS = 2000  # windows whose kernel values are held at once
 ROUNDS = 3  # of training
 ORDER, DECAY, SPAN = 4, 0.65, 6  # characters counted, weight of a position spanned, positions spanned
 CODES = 32
@@ -214,18 +215,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] + found @ self.scale[1:], -30, 30)))
 
 
-def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np.ndarray:
-    """Linear machine with squared hinge loss, by Newton steps; the last entry is the bias."""
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+def _machine(x: np.ndarray, y: np.ndarray, penalty: float) -> np.ndarray:
+    """Linear machine with squared hinge loss, by Newton steps; the last column and weight are the bias.
+
+    Sums are taken over blocks of rows, so that no second copy of ``x`` is made.
+    """
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-6
     for _ in range(30):
-        margin = 1 - y * (x @ w)
-        active = margin > 0
-        xa, wa = x[active], weight[active]
-        gradient = ridge * w - xa.T @ (wa * y[active] * margin[active])
-        step = np.linalg.solve(np.diag(ridge) + (xa * wa[:, None]).T @ xa, gradient)
+        gradient, hessian = ridge * w, np.diag(ridge)
+        for first in range(0, len(x), ROWS):
+            part, sign = x[first : first + ROWS].astype(np.float64), y[first : first + ROWS]
+            margin = 1 - sign * (part @ w)
+            active = margin > 0
+            part = part[active]
+            gradient = gradient - part.T @ (sign[active] * margin[active])
+            hessian += part.T @ part
+        step = np.linalg.solve(hessian, gradient)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
@@ -391,7 +398,10 @@ def _machine_of(bad: list[bytes], harmless: list[bytes], hard: list[bytes]) -> M
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])  # the Nyström map
-    w = _machine(kernel(x, marks) @ root, y, np.ones(len(y)), penalty=0.05)
+    mapped = np.ones((len(x), root.shape[1] + 1), dtype=np.float32)
+    for first in range(0, len(x), ROWS):
+        mapped[first : first + ROWS, :-1] = kernel(x[first : first + ROWS], marks) @ root
+    w = _machine(mapped, y, penalty=0.05)
     weights = np.zeros(FEATURES)
     index, value = features(marks)
     np.add.at(weights, index, (root @ w[:-1])[:, None] * value)
