@@ -21,12 +21,44 @@ from clipsift.sources.modelstore import plain_model
 
 Encoder = Callable[[list[str]], np.ndarray]
 
+MAX_TOKENS = 32_768  # of a batch that a plugged model gets, all texts padded to the longest
 
-def encode_text(df: DataFrame, col: str, dim: int, out: str = "emb", encoder: Encoder | None = None) -> DataFrame:
+
+def words_in(text: str) -> int:
+    """A text's size for a model that does not say otherwise."""
+    return len(text.split())
+
+
+def token_batches(sizes: np.ndarray, max_tokens: int) -> Iterator[np.ndarray]:
+    """Places of texts by falling size, in batches that padded to their longest keep to ``max_tokens``.
+
+    A text beyond it is alone in its batch. Texts of like size share one, so little is padding.
+    """
+    order = np.argsort(-sizes, kind="stable")
+    at = 0
+    while at < len(order):
+        n = max(1, int(max_tokens) // max(1, int(sizes[order[at]])))
+        yield order[at : at + n]
+        at += n
+
+
+def _in_batches(texts: pd.Series, size: Callable[[str], int], max_tokens: int) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """(places, texts) of the texts that are not empty, batch by batch."""
+    shown = np.flatnonzero(texts.str.len().to_numpy() > 0)
+    sizes = np.array([size(t) for t in texts.iloc[shown]], dtype=np.int64)
+    for own in token_batches(sizes, max_tokens):
+        yield shown[own], texts.iloc[shown[own]].tolist()
+
+
+def encode_text(
+    df: DataFrame, col: str, dim: int, out: str = "emb", encoder: Encoder | None = None,
+    max_tokens: int = MAX_TOKENS, size: Callable[[str], int] = words_in,
+) -> DataFrame:
     """Add a vector of ``dim`` floats per text; blank or missing text -> zeros.
 
     Default: hashed word counts with unit length, in the JVM. An ``encoder`` (list of texts ->
-    matrix) runs on Arrow batches instead.
+    matrix) runs in Python instead, on texts of like ``size`` that padded to the longest hold at most
+    ``max_tokens``; whole texts, in the table's order again afterwards.
     """
     text = strip(F.coalesce(F.col(col), F.lit("")))
     if encoder is None:
@@ -40,9 +72,8 @@ def encode_text(df: DataFrame, col: str, dim: int, out: str = "emb", encoder: En
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             rows = np.zeros((len(texts), dim), dtype=np.float32)
-            shown = np.flatnonzero(texts.str.len().to_numpy() > 0)
-            if len(shown):
-                rows[shown] = encoder(texts.iloc[shown].tolist())
+            for places, some in _in_batches(texts, size, max_tokens):
+                rows[places] = encoder(some)
             yield pd.Series(list(rows))
 
     return df.withColumn(out, run(text))
@@ -54,11 +85,13 @@ def classify(
     classifier: Callable[[Column], Column] | None = None,
     predict: Callable[[list[str]], Sequence[int]] | None = None,
     out: str = "pred",
+    max_tokens: int = MAX_TOKENS,
+    size: Callable[[str], int] = words_in,
 ) -> DataFrame:
     """Add a 0/1 class per whole text; blank -> 0.
 
-    ``classifier`` maps a column to a column; ``predict`` (list of texts -> classes) runs on
-    Arrow batches.
+    ``classifier`` maps a column to a column; ``predict`` (list of texts -> classes) runs in
+    batches as in ``encode_text``.
     """
     text = strip(F.coalesce(F.col(col), F.lit("")))
     if classifier is not None:
@@ -68,9 +101,8 @@ def classify(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             result = np.zeros(len(texts), dtype=np.int32)
-            shown = np.flatnonzero(texts.str.len().to_numpy() > 0)
-            if len(shown):
-                result[shown] = np.asarray(predict(texts.iloc[shown].tolist()), dtype=np.int32)
+            for places, some in _in_batches(texts, size, max_tokens):
+                result[places] = np.asarray(predict(some), dtype=np.int32)
             yield pd.Series(result)
 
     return df.withColumn(out, run(text))
