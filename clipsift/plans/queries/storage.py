@@ -10,6 +10,7 @@ from clipsift.plans import standins as V
 from clipsift.plans.registry import query
 from clipsift.session import scratch_path
 from clipsift.sources import annotations, listings, readers, writers
+from clipsift.sources.manifest import DocumentTable
 from clipsift.tables import load
 
 
@@ -95,6 +96,33 @@ def q_read_keyed_metadata(spark, sf):
     return rows.select("folder", "doc_id", "lang", "n_chars", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "SELECT concat('v', doc_id) AS folder, doc_id, CASE WHEN doc_id % 10 = 0 THEN concat(lang, ' again') ELSE lang END AS lang, "
+    "md5(text) AS text_md5, (SELECT count(*) FROM documents WHERE doc_id % 10 = 0) AS opened FROM documents "
+    "WHERE doc_id % 10 <> 3"
+)
+def q_refresh_documents(spark, sf):
+    """A file per document, of which a tenth changes and a tenth is emptied; the second run opens these alone."""
+    root = scratch_path(spark, "listed")
+    docs = load(spark, sf, "documents").withColumn("id", F.concat(F.lit("v"), "doc_id"))
+
+    def write(rows, value):
+        rows.select("id", value.alias("value")).repartition("id").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("id").text(root)
+
+    table = DocumentTable(
+        spark, scratch_path(spark, "manifest"), "doc_id long, lang string, text string", "folder",
+        r"id=([^/]+)/[^/]+$", files="*.txt",
+    )
+    write(docs, F.to_json(F.struct("doc_id", "lang", "text")))
+    table.refresh(root)
+    write(docs.filter("doc_id % 10 = 0"), F.to_json(F.struct("doc_id", F.concat("lang", F.lit(" again")).alias("lang"), "text")))
+    write(docs.filter("doc_id % 10 = 3"), F.lit(""))
+    opened = table.refresh(root)["opened"] - docs.filter("doc_id % 10 = 3").count()
+    return table.read().select("folder", "doc_id", "lang", F.md5("text").alias("text_md5"), F.lit(opened).cast("long").alias("opened"))
+
+
 @query(
     "SELECT CAST(event_id AS STRING) AS video_id, event_type AS label, value AS processing_time_ms, "
     "CASE WHEN event_id % 5 = 0 THEN TIMESTAMP '2000-01-01 00:00:00' ELSE ts END AS ingested_at FROM events"

@@ -8,16 +8,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipsift.functions import ids
+from clipsift.session import setting
 
 # Splits and media extensions of a labelled folder tree.
 SPLITS = ("train", "val", "test")
 MEDIA_EXTENSIONS = (".mp4", ".mov", ".avi")
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size) of every file below ``root``; file contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return reader.load(root).select("path", F.col("length").alias("size"))
+LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS = 4  # listing tasks a core
+
+
+def binary_files(spark: SparkSession, paths: str | list[str], files: str = "*") -> DataFrame:
+    """(path, modificationTime, length, content) of the ``files`` below ``paths``."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", files)
+    # By default each folder is listed by a task of its own.
+    with setting(spark, LISTING_KEY, str(LISTING_TASKS * spark.sparkContext.defaultParallelism)):
+        return reader.load(paths)
+
+
+def list_files(spark: SparkSession, root: str, files: str = "*") -> DataFrame:
+    """(path, size, modified) of every file below ``root``; file contents are not read."""
+    return binary_files(spark, root, files).select(
+        "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")
+    )
 
 
 def directory_manifest(
