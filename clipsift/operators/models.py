@@ -115,8 +115,7 @@ LAYERS = 2
 FFN_FACTOR = 4
 NORM_EPS = 1e-5
 MAX_WEIGHT_BYTES = 1 << 30
-
-
+BLOCK_ROWS = 512  # rows in one pass of the network, which holds some 100 KB a row
 
 # The error function at steps of 1/128 up to 6, where it is 1 but for 1e-16, and its slope there.
 _STEP = 128
@@ -212,6 +211,13 @@ def fusion_logits(weights: dict, inputs: Sequence[np.ndarray], heads: int = HEAD
     return linear(weights["head"][1], _gelu(linear(weights["head"][0], pooled)))
 
 
+def row_blocks(batches: Iterator[pd.DataFrame], rows: int = BLOCK_ROWS) -> Iterator[pd.DataFrame]:
+    """Few rows at a time, so that a pass needs the same memory whatever the Arrow batches hold."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
 def score_multimodal(
     df: DataFrame,
     weights: dict,
@@ -220,7 +226,7 @@ def score_multimodal(
     *keep: str,
     heads: int = HEADS,
 ) -> DataFrame:
-    """(key, kept columns, logits, probs) by the fusion network, one forward pass per Arrow batch.
+    """(key, kept columns, logits, probs) by the fusion network, in passes of ``BLOCK_ROWS`` rows.
 
     The weights have a fixed size set by the network, not by the data; beyond
     ``MAX_WEIGHT_BYTES`` they are refused.
@@ -231,12 +237,11 @@ def score_multimodal(
     sent = df.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                arrays = [np.stack(batch[c].to_numpy()).astype(float) for c in inputs]
-                yield pd.DataFrame(
-                    {**{c: batch[c] for c in (key, *keep)}, "logits": list(fusion_logits(sent.value, arrays, heads))}
-                )
+        for batch in row_blocks(batches):
+            arrays = [np.stack(batch[c].to_numpy()).astype(float) for c in inputs]
+            yield pd.DataFrame(
+                {**{c: batch[c] for c in (key, *keep)}, "logits": list(fusion_logits(sent.value, arrays, heads))}
+            )
 
     kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in (key, *keep))
     scored = df.select(key, *keep, *inputs).mapInPandas(run, f"{kinds}, logits array<double>")

@@ -1,6 +1,6 @@
 """Training of the fusion network by gradient sums over the partitions of a table.
 
-Each step sends the weights to the tasks, which add up the gradients of their Arrow batches; the
+Each step sends the weights to the tasks, which add up the gradients of blocks of their rows; the
 sums are added in two rounds of a few tasks, and the driver makes one optimiser step. Rows never
 leave their tasks, and the driver holds a few copies of the weights.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipsift.operators.metrics import macro_f1
-from clipsift.operators.models import HEADS, INPUTS, MAX_WEIGHT_BYTES, NORM_EPS, _arrays, _erf, _rebuilt, score_multimodal
+from clipsift.operators.models import HEADS, INPUTS, MAX_WEIGHT_BYTES, NORM_EPS, _arrays, _erf, _rebuilt, row_blocks, score_multimodal
 from clipsift.session import durable
 
 # Tasks that add up the gradients, round by round.
@@ -155,12 +155,11 @@ def gradient_sum(
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         loss, n, total = 0.0, 0, np.zeros(len(flat))
-        for batch in batches:
-            if len(batch):
-                arrays = [np.stack(batch[c].to_numpy()).astype(float) for c in inputs]
-                own, grads = loss_and_gradient(sent.value, arrays, batch[label].to_numpy(np.int64), heads)
-                loss, n = loss + own, n + len(batch)
-                total += _flat(grads)
+        for batch in row_blocks(batches):
+            arrays = [np.stack(batch[c].to_numpy()).astype(float) for c in inputs]
+            own, grads = loss_and_gradient(sent.value, arrays, batch[label].to_numpy(np.int64), heads)
+            loss, n = loss + own, n + len(batch)
+            total += _flat(grads)
         if n:
             yield pd.DataFrame({"loss": [loss], "n": [n], "gradient": [total.tobytes()]})
 

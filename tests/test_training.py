@@ -1,6 +1,7 @@
 """Gradients against finite differences, sums over partitions, training and transfer."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +66,27 @@ def test_training_and_transfer(spark):
     for name in ("project", "layers"):
         assert np.array_equal(training._flat({"x": base[name]}), training._flat({"x": tuned[name]}))
     assert np.array_equal(base["head"][0][0], tuned["head"][0][0]) and not np.array_equal(base["norm"][0], tuned["norm"][0])
+
+
+def test_passes_hold_few_rows_whatever_the_batches_hold(spark, monkeypatch):
+    batches = [pd.DataFrame({"i": range(1300)}), pd.DataFrame({"i": []}), pd.DataFrame({"i": [7]})]
+    found = list(models.row_blocks(iter(batches)))
+    assert [len(b) for b in found] == [512, 512, 276, 1]
+    assert [i for b in found for i in b["i"]] == [*range(1300), 7]
+
+    df, inputs, label = table(spark, 1100, parts=1)
+    weights = models.random_weights(DIMS, WIDTH, 4, seed=4)
+    real = training.loss_and_gradient
+
+    def few(weights, inputs, labels, heads):
+        assert len(labels) <= 512
+        return real(weights, inputs, labels, heads)
+
+    loss, grads = real(weights, inputs, label, heads=2)
+    monkeypatch.setattr(training, "loss_and_gradient", few)
+    got = training.gradient_sum(df, weights, heads=2)
+    assert got[0] == pytest.approx(loss) and got[1] == 1100
+    assert training._flat(got[2]) == pytest.approx(training._flat(grads), rel=1e-6, abs=1e-9)
+    scored = models.score_multimodal(df, weights, "i", heads=2).orderBy("i").collect()
+    want = models.fusion_logits(weights, inputs, 2)
+    assert np.allclose([r["logits"] for r in scored], want)
