@@ -16,7 +16,7 @@ from clipsift.plans.queries.scalars import RULES, comment_rows, near, tree_sql,
 from clipsift.plans.queries.storage import by_id_sql, crawled_events, gold_rows
 from clipsift.plans.queries.streams import event_lines
 from clipsift.plans.registry import query
-from clipsift.session import scratch_path
+from clipsift.session import durable, scratch_path
 from clipsift.sources import writers
 from clipsift.streaming import events
 from clipsift.tables import load
@@ -231,7 +231,8 @@ def q_job_incremental(spark, sf):
     rows = V.EVENTS.df(spark, sf).select("video_id", F.struct("video_id", "source", "raw_path", "timestamp").alias("e"))
     docs = load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("video_id"), F.lit(1).alias("fine"))
     kind = F.when(F.col("fine").isNull(), 3).otherwise(F.pmod(F.xxhash64("e.raw_path"), F.lit(3)))
-    ordered = rows.join(docs, "video_id", "left").select(F.to_json("e").alias("value"), kind.alias("file"))
+    # Joined once, by all tasks: the one that writes a file only passes lines on.
+    ordered = durable(rows.join(docs, "video_id", "left").select(F.to_json("e").alias("value"), kind.alias("file")), "lines")
     for file in range(4):  # a batch each, the failures last
         ordered.filter(F.col("file") == file).select("value").coalesce(1).write.mode("append").text(lines)
     silver = scratch_path(spark, "silver")
