@@ -16,11 +16,14 @@ from clipsift.plans.queries.scalars import RULES, comment_rows, near, tree_sql,
 from clipsift.plans.queries.storage import by_id_sql, crawled_events, gold_rows
 from clipsift.plans.queries.streams import event_lines
 from clipsift.plans.registry import query
-from clipsift.session import durable, scratch_path
+from clipsift.session import durable, scratch_path, setting
 from clipsift.sources import writers
 from clipsift.streaming import events
 from clipsift.tables import load
 
+# Rows that a scan decodes at once; by default 4096, which for vectors of thousands of floats is gigabytes a task.
+SCAN_KEY, WIDE_SCAN = "spark.sql.parquet.columnarReaderBatchSize", "64"
+
 MEDIA = "store://lake/bronze/"
 FEATURES = "store://lake/silver/"
 
@@ -144,16 +147,19 @@ def q_job_metadata_features(spark, sf):
 
     # Equal texts have equal vectors, and different ones do not.
     names = {f"{v}_hash": F.md5(F.concat_ws(",", F.col(v).cast("array<string>"))) for v in ("comments_emb", "tags_emb")}
-    rows = spark.read.parquet(out).withColumns(names)
-    comments = rows.groupBy("comments_emb_hash").agg(F.count(F.lit(1)).alias("alike_comments"))
-    tags = rows.groupBy("tags_emb_hash").agg(F.min("video_id").alias("first_alike_tags"))
-    return rows.join(comments, "comments_emb_hash").join(tags, "tags_emb_hash").select(
+    digests = spark.read.parquet(out).select(
         "video_id",
         *[near(F.get("numeric_scaled", F.lit(i)), 3).alias(n) for i, n in enumerate(NUMERIC_FEATURES)],
         *[near(F.get("numeric_raw", F.lit(i))).alias(f"raw_{n}") for i, n in enumerate(NUMERIC_FEATURES)],
         norm("desc_emb").alias("desc_norm"), norm("comments_emb").alias("comments_norm"),
-        "alike_comments", "first_alike_tags",
+        *[value.alias(name) for name, value in names.items()],
     )
+    # The vectors are read once and go into no shuffle.
+    with setting(spark, SCAN_KEY, WIDE_SCAN):
+        rows = durable(digests, "digests")
+    comments = rows.groupBy("comments_emb_hash").agg(F.count(F.lit(1)).alias("alike_comments"))
+    tags = rows.groupBy("tags_emb_hash").agg(F.min("video_id").alias("first_alike_tags"))
+    return rows.join(comments, "comments_emb_hash").join(tags, "tags_emb_hash").drop(*names)
 
 
 def stored_silver(spark, sf):
