@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipsift.llm.common import BitMap, RollingHash, arrow_rows, lean, mixed, text_buffer, text_of
-from clipsift.llm.components import components
+from clipsift.llm.components import roots
 from clipsift.session import durable
 
 SHINGLE = 5  # words
@@ -399,7 +399,7 @@ def _grouped(docs: DataFrame, similar_pct: int, shingle: int, bands: int, rows:
     spokes = durable(_spokes(buckets, nodes, similar, miss), "spokes")
     likely_pairs = durable(_prune(spokes, nodes, width, similar_pct, miss), "likely")
     links = _verified(likely_pairs, slim, nodes, similar_pct, shingle)
-    found = durable(components(links), "components")
+    found = roots(links)
 
     # First a forest of the likely pairs of each bucket; where one of its pairs turns out not to be a
     # link, others that it stood for are looked at too.
@@ -418,8 +418,7 @@ def _grouped(docs: DataFrame, similar_pct: int, shingle: int, bands: int, rows:
         asked = rest.select("a", "b").distinct()
         more = _verified(asked, slim, nodes, similar_pct, shingle)
         if more.limit(1).count():
-            chained = found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            found = durable(components(chained.unionByName(more)), "components")
+            found = roots(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
         again = durable(rest.join(more, ["a", "b"], "left_anti").select("key").distinct(), "again")
         if again.isEmpty():
             break

@@ -6,8 +6,12 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from clipsift.llm import components as star_rounds
 from clipsift.llm import neardup
 from clipsift.llm.components import components
+from clipsift.session import setting
 
 
 def sets_of(text, size=2):
@@ -131,6 +135,26 @@ def test_components(spark, shape):
     assert {r.node: r.root for r in components(df).collect()} == {x: roots[x] for x in touched}
 
 
+def test_rounds_write_little(spark, tmp_path, monkeypatch):
+    """Settled links are written once, in few files however many partitions there are, and seen to be settled."""
+    written = []
+
+    def counted(df, name):
+        written.append(made(df, name))
+        return written[-1]
+
+    made = star_rounds.durable
+    monkeypatch.setattr(star_rounds, "durable", counted)
+    with setting(spark, "spark.sql.shuffle.partitions", "23"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        spark.range(1, 3000).selectExpr("0L AS a", "id AS b").write.parquet(f"{tmp_path}/links")
+        found = star_rounds.roots(spark.read.parquet(f"{tmp_path}/links"))
+        assert found.agg(F.count("*"), F.min("node"), F.max("root")).first() == (2999, 1, 0)
+    assert len(written) == 1 and len(written[0].inputFiles()) == 1
+    # Two that share a smaller one, but of whom one is the root of others, are not settled yet.
+    for links, done in (([(3, 1), (4, 1), (9, 5)], True), ([(3, 1), (4, 3)], False), ([(4, 1), (4, 2)], False)):
+        assert star_rounds._settled(spark.createDataFrame(links, "a long, b long")) is done
+
+
 def test_one_of_each_stays(make_docs, with_clashes):
     rng = random.Random(6)
     long = [f"t{i}" for i in range(80)]
