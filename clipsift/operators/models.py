@@ -50,15 +50,23 @@ def _in_batches(texts: pd.Series, size: Callable[[str], int], max_tokens: int) -
         yield shown[own], texts.iloc[shown[own]].tolist()
 
 
+def dense(vector: Column) -> Column:
+    """A vector column as an array of floats."""
+    return vector_to_array(vector, "float32")
+
+
 def encode_text(
     df: DataFrame, col: str, dim: int, out: str = "emb", encoder: Encoder | None = None,
-    max_tokens: int = MAX_TOKENS, size: Callable[[str], int] = words_in,
+    max_tokens: int = MAX_TOKENS, size: Callable[[str], int] = words_in, sparse: bool = False,
 ) -> DataFrame:
     """Add a vector of ``dim`` floats per text; blank or missing text -> zeros.
 
     Default: hashed word counts with unit length, in the JVM. An ``encoder`` (list of texts ->
     matrix) runs in Python instead, on texts of like ``size`` that padded to the longest hold at most
     ``max_tokens``; whole texts, in the table's order again afterwards.
+
+    With ``sparse`` the word counts stay a sparse vector, which ``dense`` turns into the same floats. A
+    table holds a text's words then, where a writer would take each of ``dim`` floats, mostly zeros, by itself.
     """
     text = strip(F.coalesce(F.col(col), F.lit("")))
     if encoder is None:
@@ -66,7 +74,10 @@ def encode_text(
         work = df.withColumn("_words", words)
         work = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim).transform(work)
         work = Normalizer(inputCol="_tf", outputCol="_unit", p=2.0).transform(work)
-        return work.withColumn(out, vector_to_array("_unit", "float32")).drop("_words", "_tf", "_unit")
+        unit = F.col("_unit")
+        return work.withColumn(out, unit if sparse else dense(unit)).drop("_words", "_tf", "_unit")
+    if sparse:
+        raise ValueError("an encoder's vectors are dense")
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

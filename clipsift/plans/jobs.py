@@ -115,6 +115,7 @@ def metadata_features(
     encoder=None,
     key: str = "video_id",
     comments: DataFrame | None = None,
+    sparse: bool = False,
     **vector_options,
 ) -> DataFrame:
     """Posts -> silver metadata features: scaled and raw numerics, three text vectors.
@@ -124,7 +125,8 @@ def metadata_features(
     numbers and joined to a post's text from pieces of bounded length. The 25 numbers are
     written once with the texts beside them, since the scaler reads them before the output does;
     the texts are encoded only for the output. Rows stay as they are, also those without a key or
-    with a repeated one.
+    with a repeated one. Without an ``encoder`` the text vectors may stay ``sparse``, as in
+    ``encode_text``, for a table that is written.
     """
     names = joins.NUMERIC_FEATURES
     texts = {
@@ -142,7 +144,7 @@ def metadata_features(
     rows = fit_scaler(raw, names, sample_n, key if sample_n else None).transform(both)
     rows = rows.withColumn("numeric_scaled", F.array(*[F.col(n) for n in names]))
     for name in texts:
-        rows = encode_text(rows, f"_{name}", dim, f"{name}_emb", encoder)
+        rows = encode_text(rows, f"_{name}", dim, f"{name}_emb", encoder, sparse=sparse)
     return rows.select(key, "numeric_scaled", "numeric_raw", *[f"{name}_emb" for name in texts])
 
 
